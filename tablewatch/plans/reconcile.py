@@ -1 +1,304 @@
-"""Registered queries."""
+"""Registered reconciliation queries (section 2.6): ``orders`` vs its planted-fault copy."""
+
+from __future__ import annotations
+
+
+
+from pyspark.sql import functions as F
+
+from tablewatch.functions.windows import with_prev_value
+from tablewatch.operators import reconcile as r
+from tablewatch.plans.common import query, t
+from tablewatch.sources.catalog import schema_catalog
+
+KEY = ["o_orderkey"]
+COLS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ALL_COLS = ["o_orderkey", *COLS]
+CURSOR_SEED = "2001-01-01 00:00:00"
+
+# DuckDB spellings of the canonical value strings (see functions.canonical).
+CANON = {
+    "o_orderkey": "coalesce(cast(o_orderkey as varchar), '~')",
+    "o_custkey": "coalesce(cast(o_custkey as varchar), '~')",
+    "o_orderstatus": "coalesce(cast(o_orderstatus as varchar), '~')",
+    "o_totalprice": "coalesce(cast(cast(o_totalprice as decimal(18,2)) as varchar), '~')",
+    "o_orderdate": "coalesce(cast(epoch_us(o_orderdate) as varchar), '~')",
+    "o_orderpriority": "coalesce(cast(o_orderpriority as varchar), '~')",
+}
+
+
+def k60(expr: str) -> str:
+    return f"('0x' || substr(md5({expr}), 1, 15))::bigint"
+
+
+def _cmp_sql(check: str, expr: str, src: str = "orders", dst: str = "orders_dst", error_gt: int = 0) -> str:
+    """Scalar compare of one aggregate expression over both sides (error when |diff| > n)."""
+    return (f"select '{check}' as check_name, cast(s.v as bigint) as src_value, cast(d.v as bigint) as dst_value, "
+            f"cast(d.v as bigint) - cast(s.v as bigint) as diff, "
+            f"case when coalesce(abs(cast(d.v as bigint) - cast(s.v as bigint)), 1) > {error_gt} then 'FAILED' "
+            f"else 'SUCCEEDED' end as verdict "
+            f"from (select {expr} as v from {src}) s, (select {expr} as v from {dst}) d")
+
+
+def _sides(spark, d):
+    return t(spark, d, "orders"), t(spark, d, "orders_dst")
+
+
+@query("rec_row_count", _cmp_sql("row_count", "count(*)"))
+def _row_count(spark, d):
+    return r.rec_row_count(*_sides(spark, d))
+
+
+CENTS = "cast(sum(cast(o_totalprice as decimal(18,2))) * 100 as bigint)"
+
+
+@query("rec_column_sum", _cmp_sql("sum_cents:o_totalprice", CENTS))
+def _column_sum(spark, d):
+    return r.rec_column_sum(*_sides(spark, d), "o_totalprice")
+
+
+@query("rec_null_count", _cmp_sql("null_count:o_orderpriority", "count(*) - count(o_orderpriority)"))
+def _null_count(spark, d):
+    return r.rec_null_count(*_sides(spark, d), "o_orderpriority")
+
+
+@query("rec_distinct_count", _cmp_sql("distinct_count:o_custkey", "count(distinct o_custkey)"))
+def _distinct_count(spark, d):
+    return r.rec_distinct_count(*_sides(spark, d), "o_custkey")
+
+
+@query("rec_epoch_minmax", _cmp_sql("min_epoch:o_orderdate", "floor(epoch(min(o_orderdate)))", error_gt=60)
+       + "\nunion all " + _cmp_sql("max_epoch:o_orderdate", "floor(epoch(max(o_orderdate)))", error_gt=60))
+def _epoch_minmax(spark, d):
+    return r.rec_epoch_minmax(*_sides(spark, d), "o_orderdate", "> 60")
+
+
+@query("rec_true_count", _cmp_sql("true_count:status_f", "coalesce(sum(cast(o_orderstatus = 'F' as integer)), 0)"))
+def _true_count(spark, d):
+    return r.rec_true_count(*_sides(spark, d), F.col("o_orderstatus") == "F", "status_f")
+
+
+def _checksum_sql(cols):
+    row = "concat_ws('|', " + ", ".join(CANON[c] for c in cols) + ")"
+    side = (lambda tb: f"(select count(*) as rows, count(distinct k) as distinct_rows, coalesce(bit_xor(k), 0) "
+            f"as checksum from (select {k60(row)} as k from {tb}))")
+    return f"""
+select s.rows as src_rows, s.distinct_rows as src_distinct_rows, s.checksum as src_checksum,
+  d.rows as dst_rows, d.distinct_rows as dst_distinct_rows, d.checksum as dst_checksum,
+  s.rows - s.distinct_rows as src_dup_rows, d.rows - d.distinct_rows as dst_dup_rows,
+  case when s.rows = d.rows and s.distinct_rows = d.distinct_rows and s.checksum = d.checksum
+       then 'SUCCEEDED' else 'FAILED' end as verdict
+from {side('orders')} s, {side('orders_dst')} d"""
+
+
+@query("rec_row_checksum", _checksum_sql(["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]))
+def _row_checksum(spark, d):
+    return r.rec_row_checksum(*_sides(spark, d), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+
+
+def _fingerprint_sql():
+    cols = sorted(ALL_COLS)
+    row = "concat_ws('|', " + ", ".join(CANON[c] for c in cols) + ")"
+    side = (lambda tb: f"(select count(*) as rows, coalesce(bit_xor({k60(row)}), 0) as checksum from {tb})")
+    return f"""
+select s.rows as src_rows, s.checksum as src_checksum, d.rows as dst_rows, d.checksum as dst_checksum,
+  case when s.rows = d.rows and s.checksum = d.checksum then 'SUCCEEDED' else 'FAILED' end as verdict
+from {side('orders')} s, {side('orders_dst')} d"""
+
+
+@query("rec_table_fingerprint", _fingerprint_sql())
+def _table_fingerprint(spark, d):
+    return r.rec_table_fingerprint(*_sides(spark, d))
+
+
+SPARK_TYPE_SQL = ("case lower(column_type) when 'varchar' then 'string' when 'integer' then 'int' "
+                  "when 'timestamp' then 'timestamp_ntz' else lower(column_type) end")
+
+
+def _catalog_sql(select_sql: str) -> str:
+    return f"(select column_name, {SPARK_TYPE_SQL} as data_type from (describe {select_sql}))"
+
+
+SRC_CAT = _catalog_sql("select * from orders")
+# The destination schema, spelled as the query that builds orders_dst (describe cannot see a CTE).
+DST_CAT = _catalog_sql("select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as "
+                       "o_totalprice, o_orderdate, o_orderpriority from orders")
+
+
+@query("rec_schema_fingerprint", f"""
+select s.columns as src_columns, s.fingerprint as src_fingerprint, d.columns as dst_columns,
+  d.fingerprint as dst_fingerprint,
+  case when s.columns = d.columns and s.fingerprint = d.fingerprint then 'SUCCEEDED' else 'WARNING' end as verdict
+from (select count(*) as columns, coalesce(bit_xor({k60("concat_ws(':', column_name, data_type)")}), 0) as fingerprint
+      from {SRC_CAT}) s,
+     (select count(*) as columns, coalesce(bit_xor({k60("concat_ws(':', column_name, data_type)")}), 0) as fingerprint
+      from {DST_CAT}) d""")
+def _schema_fingerprint(spark, d):
+    s, dd = _sides(spark, d)
+    return r.rec_schema_fingerprint(schema_catalog(s, "orders"), schema_catalog(dd, "orders_dst"), ALL_COLS)
+
+
+@query("rec_schema_diff", f"""
+select coalesce(s.column_name, d.column_name) as column_name, s.data_type as src_type, d.data_type as dst_type,
+  case when d.data_type is null then 'missing_in_dst' when s.data_type is null then 'missing_in_src'
+       when s.data_type <> d.data_type then 'retyped' else 'ok' end as state,
+  case when s.data_type = d.data_type then 'SUCCEEDED' else 'WARNING' end as verdict
+from {SRC_CAT} s full outer join {DST_CAT} d on s.column_name = d.column_name""")
+def _schema_diff(spark, d):
+    s, dd = _sides(spark, d)
+    return r.rec_schema_diff(schema_catalog(s, "orders"), schema_catalog(dd, "orders_dst"))
+
+
+def _keyed_sql(tb: str, cols: list[str], prefix: str) -> str:
+    fps = ", ".join(f"sum({k60(CANON[c])}::decimal(38,0)) as {prefix}f{i}" for i, c in enumerate(cols))
+    return f"(select o_orderkey, count(*) as {prefix}n, {fps} from {tb} group by o_orderkey)"
+
+
+def _row_diff_sql(src: str, dst: str, cols: list[str], unique_only: bool = False, rows_check: bool = True) -> str:
+    s, d = _keyed_sql(src, cols, "s"), _keyed_sql(dst, cols, "d")
+    where = " where sn = 1 and dn = 1" if unique_only else ""
+    parts = []
+    if rows_check:
+        parts.append("select o_orderkey, '__rows' as column_name from j where sn is distinct from dn")
+    for i, c in enumerate(cols):
+        parts.append(f"select o_orderkey, '{c}' as column_name from j where sf{i} is distinct from df{i}")
+    return f"with j as (select * from {s} join {d} using (o_orderkey){where})\n" + "\nunion all ".join(parts)
+
+
+@query("rec_row_diff", _row_diff_sql("orders", "orders_dst", COLS))
+def _row_diff(spark, d):
+    return r.rec_row_diff(*_sides(spark, d), KEY, COLS)
+
+
+@query("rec_missing_rows", """
+select o_orderkey, 'src_only' as side from (select distinct o_orderkey from orders) s
+  where not exists (select 1 from orders_dst d where d.o_orderkey = s.o_orderkey)
+union all
+select o_orderkey, 'dst_only' from (select distinct o_orderkey from orders_dst) d
+  where not exists (select 1 from orders s where s.o_orderkey = d.o_orderkey)""")
+def _missing(spark, d):
+    return r.rec_missing_rows(*_sides(spark, d), KEY)
+
+
+@query("rec_duplicate_keys", """
+select o_orderkey, count(*) as n, 'src' as side from orders group by 1 having count(*) > 1
+union all select o_orderkey, count(*), 'dst' from orders_dst group by 1 having count(*) > 1""")
+def _dups(spark, d):
+    return r.rec_duplicate_keys(*_sides(spark, d), KEY)
+
+
+@query("rec_unique_key_diff", _row_diff_sql("orders", "orders_dst", COLS, unique_only=True, rows_check=False))
+def _unique_diff(spark, d):
+    return r.rec_unique_key_diff(*_sides(spark, d), KEY, COLS)
+
+
+@query("rec_normalised_diff", """
+with s as (select o_orderkey, count(*) as sn,
+             sum(('0x' || substr(md5(coalesce(nullif(trim(o_orderpriority), ''), '~')), 1, 15))::bigint::decimal(38,0)) as sf0
+           from orders group by 1),
+d as (select o_orderkey, count(*) as dn,
+             sum(('0x' || substr(md5(coalesce(nullif(trim(o_orderpriority), ''), '~')), 1, 15))::bigint::decimal(38,0)) as df0
+           from orders_dirty group by 1),
+j as (select * from s join d using (o_orderkey))
+select o_orderkey, '__rows' as column_name from j where sn is distinct from dn
+union all select o_orderkey, 'o_orderpriority' from j where sf0 is distinct from df0""")
+def _normalised(spark, d):
+    src = t(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    dst = t(spark, d, "orders_dirty").select("o_orderkey", "o_orderpriority")
+    return r.rec_normalised_diff(src, dst, KEY, ["trim", "empty_as_null"], ["o_orderpriority"])
+
+
+DST_RENAMED = {"o_orderkey": "order_id", "o_custkey": "customer_id", "o_totalprice": "total_price",
+               "o_orderpriority": "priority"}
+
+
+@query("rec_mapped", _cmp_sql("row_count", "count(*)") + "\nunion all "
+       + _cmp_sql("sum_cents:o_totalprice", CENTS) + "\nunion all "
+       + _cmp_sql("null_count:o_orderpriority", "count(*) - count(o_orderpriority)"))
+def _mapped(spark, d):
+    src, dst = _sides(spark, d)
+    renamed = dst.withColumnsRenamed(DST_RENAMED)  # the destination as it lands, with its own names
+    back = r.rec_mapped(renamed, {v: k for k, v in DST_RENAMED.items()})
+    return (r.rec_row_count(src, back).unionByName(r.rec_column_sum(src, back, "o_totalprice"))
+            .unionByName(r.rec_null_count(src, back, "o_orderpriority")))
+
+
+@query("rec_cursor_drift", f"""
+with s as (select count(*) as n, max(o_orderdate) as mx from orders where o_orderdate > timestamp '{CURSOR_SEED}'),
+d as (select count(*) as n, max(o_orderdate) as mx from orders_dst where o_orderdate > timestamp '{CURSOR_SEED}')
+select 'orders' as table_name, timestamp '{CURSOR_SEED}' as cached_cursor, s.n as src_new_rows, d.n as dst_new_rows,
+  d.n - s.n as count_drift, cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s,
+  case when abs(d.n - s.n) <> 0 then 'FAILED' else 'SUCCEEDED' end as count_verdict,
+  case when coalesce(abs(floor(epoch(d.mx)) - floor(epoch(s.mx))), 0) > 60 then 'FAILED' else 'SUCCEEDED' end as max_verdict,
+  coalesce(least(s.mx, d.mx), timestamp '{CURSOR_SEED}') as new_cursor
+from s, d""")
+def _cursor_drift(spark, d):
+    return r.rec_cursor_drift(*_sides(spark, d), "o_orderdate", CURSOR_SEED, "orders")
+
+
+@query("rec_monotonic_check", """
+with x as (select o_custkey, o_orderdate,
+             lag(o_orderdate) over (partition by o_custkey order by o_orderkey) as prev_value from orders)
+select o_custkey, count(*) as decreases from x where o_orderdate < prev_value group by 1""")
+def _monotonic(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # Arrival order is the load key; buckets of 1000 keys bound the work per task.
+    x = with_prev_value(o, ["o_custkey"], "o_orderkey", "o_orderdate", F.expr("o_orderkey div 1000"))
+    return (x.where(F.col("o_orderdate") < F.col("prev_value")).groupBy("o_custkey")
+            .agg(F.count(F.lit(1)).alias("decreases")))
+
+
+def _suite_pairs(spark, d):
+    return [r.TablePair("orders", t(spark, d, "orders"), t(spark, d, "orders_dst"), ("o_totalprice",)),
+            r.TablePair("customer", t(spark, d, "customer"), t(spark, d, "customer"), ("c_acctbal",),
+                        ("c_custkey", "c_name", "c_nationkey")),
+            r.TablePair("supplier", t(spark, d, "supplier"), t(spark, d, "supplier"), ("s_acctbal",),
+                        ("s_suppkey", "s_name", "s_nationkey"))]
+
+
+def _suite_checksum_sql(tb, cols):
+    row = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols) + ")"
+    return (f"select '{tb}' as table_name, 'checksum' as check_name, s.c as src_value, d.c as dst_value, "
+            f"d.n - s.n as diff, case when s.n = d.n and s.dn = d.dn and s.c = d.c then 'SUCCEEDED' "
+            f"else 'FAILED' end as verdict from "
+            f"(select count(*) as n, count(distinct k) as dn, coalesce(bit_xor(k), 0) as c "
+            f"from (select {k60(row)} as k from {tb})) s, "
+            f"(select count(*) as n, count(distinct k) as dn, coalesce(bit_xor(k), 0) as c "
+            f"from (select {k60(row)} as k from {tb})) d")
+
+
+def _suite_sql():
+    stage1 = [f"select '{tb}' as table_name, * from ({_cmp_sql('row_count', 'count(*)', src, dst)})"
+              for tb, src, dst in (("orders", "orders", "orders_dst"), ("customer", "customer", "customer"),
+                                   ("supplier", "supplier", "supplier"))]
+    # orders fails its row count, so only customer and supplier get content checks.
+    stage2 = []
+    for tb, col, cols in (("customer", "c_acctbal", ["c_custkey", "c_name", "c_nationkey"]),
+                          ("supplier", "s_acctbal", ["s_suppkey", "s_name", "s_nationkey"])):
+        cents = f"cast(sum(cast({col} as decimal(18,2))) * 100 as bigint)"
+        stage2.append(f"select '{tb}' as table_name, * from ({_cmp_sql('sum_cents:' + col, cents, tb, tb)})")
+        stage2.append(_suite_checksum_sql(tb, cols))
+    body = "\nunion all ".join(f"select table_name, check_name, src_value, dst_value, diff, verdict from ({p})"
+                               for p in stage1 + stage2)
+    return body
+
+
+@query("rec_suite", _suite_sql())
+def _suite(spark, d):
+    return r.rec_suite(_suite_pairs(spark, d))
+
+
+@query("rec_discover", f"""
+select 'orders' as table_name, coalesce(s.column_name, d.column_name) as column_name, s.data_type as src_type,
+  d.data_type as dst_type, s.data_type is not null and d.data_type is not null as comparable
+from {SRC_CAT} s full outer join {DST_CAT} d on s.column_name = d.column_name
+union all
+select 'customer', column_name, data_type, data_type, true from {_catalog_sql('select * from customer')}""")
+def _discover(spark, d):
+    t(spark, d, "orders").createOrReplaceTempView("twsrc_orders")
+    t(spark, d, "orders_dst").createOrReplaceTempView("twdst_orders")
+    t(spark, d, "customer").createOrReplaceTempView("twsrc_customer")
+    t(spark, d, "customer").createOrReplaceTempView("twdst_customer")
+    return r.rec_discover(spark, "twsrc_", "twdst_")
+
+
