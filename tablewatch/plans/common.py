@@ -31,3 +31,12 @@ def query(name: str, sql: str | None = None):
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
+
+
+def portable(df: DataFrame) -> DataFrame:
+    """Dates as ISO text, so results compare across engines without date-type drift."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    cols = [F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols)

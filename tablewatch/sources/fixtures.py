@@ -80,19 +80,20 @@ select event_id as task_run_id, user_id as pipeline_id,
        when event_id % 5 = 3 then 'sync already running' else 'KeyError: value' end as message
 from events""",
     "query_history": """
-select event_id as query_id, cast(user_id % 4 as varchar) as workspace_id, cast(user_id % 8 as varchar) as warehouse_id,
-  ts as start_time,
-  concat('SELECT ', event_type, ' FROM t', cast(user_id as varchar), ' WHERE id = ', cast(event_id as varchar),
-         case when user_id % 2 = 0 then ' AND x > 1' else '' end) as statement_text,
-  case when event_type = 'signup' then 'INSERT' else 'SELECT' end as statement_type,
-  case when event_type = 'error' then 'FAILED' else 'FINISHED' end as execution_status,
-  value * 1000 as total_duration_ms, value * 1e10 as read_bytes, event_id % 20 as read_files,
-  case when user_id % 3 = 0 then 0 else event_id % 7 end as pruned_files
-from events""",
+select o_orderkey as query_id, cast(o_custkey % 4 as varchar) as workspace_id,
+  cast(o_custkey % 10 as varchar) as warehouse_id, o_orderdate as start_time,
+  concat('SELECT ', o_orderpriority, ' FROM t', cast(o_custkey as varchar), ' WHERE id = ', cast(o_orderkey as varchar),
+         case when o_custkey % 2 = 0 then ' AND x > 1' else '' end) as statement_text,
+  case when o_orderstatus = 'P' then 'INSERT' else 'SELECT' end as statement_type,
+  case when o_orderkey % 13 = 0 then 'FAILED' else 'FINISHED' end as execution_status,
+  o_totalprice * 10 as total_duration_ms, o_totalprice * 1000000 as read_bytes, o_orderkey % 20 as read_files,
+  case when o_orderpriority like '1%' then 0 else o_orderkey % 7 end as pruned_files
+from orders""",
     "node_timeline": """
-select cast(user_id % 100 as varchar) as cluster_id, ts as start_time, event_id % 10 = 0 as driver,
-  value / 20 + user_id % 30 as cpu_user_percent, value / 50 as cpu_system_percent, value / 8 as mem_used_percent
-from events""",
+select cast(l_suppkey as varchar) as cluster_id, l_shipdate as start_time, l_linenumber = 1 as driver,
+  l_discount * 100 + l_suppkey % 30 as cpu_user_percent, l_tax * 50 as cpu_system_percent,
+  l_quantity as mem_used_percent
+from lineitem""",
     "clusters": """
 select cast(s_suppkey as varchar) as cluster_id, s_name as cluster_name, cast(s_nationkey as varchar) as owned_by,
   cast(s_suppkey % 4 as varchar) as workspace_id, timestamp '2001-01-01 00:00:00' as change_time,
@@ -122,10 +123,11 @@ select p_partkey as child, p_partkey % 9 as parent from part where p_partkey >=
     "model_sources": """
 select user_id as source_id, user_id % 10 as model_id, max(ts) as loaded_at from events group by user_id""",
     "job_run_timeline": """
-select pipeline_id as job_id, pipeline_run_id as run_id, cast(pipeline_id % 4 as varchar) as workspace_id,
-  status as result_state, started_at as period_start_time,
-  started_at + to_microseconds(cast(duration_s * 1000000 as bigint)) as period_end_time
-from task_runs""",
+select o_custkey % 60 as job_id, o_orderkey as run_id, cast(o_custkey % 4 as varchar) as workspace_id,
+  case o_orderstatus when 'F' then 'SUCCEEDED' when 'O' then 'FAILED' else 'CANCELLED' end as result_state,
+  o_orderdate as period_start_time,
+  o_orderdate + to_seconds(cast(floor(o_totalprice / 10) as bigint)) as period_end_time
+from orders""",
     "access_log": """
 select event_id as access_id, ts as event_time,
   [{'name': concat('tbl_', cast(user_id % 40 as varchar))},
@@ -134,7 +136,7 @@ from events""",
 }
 
 # Fixture dependencies on other fixtures (for CTE ordering in the oracle).
-FIXTURE_DEPS = {"job_run_timeline": ["task_runs"]}
+FIXTURE_DEPS: dict[str, list[str]] = {}
 
 
 def with_fixtures(sql: str) -> str:
@@ -254,32 +256,32 @@ def task_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events")
-    u = F.col("user_id")
-    return e.select(
-        F.col("event_id").alias("query_id"), (u % 4).cast("string").alias("workspace_id"),
-        F.col("ts").alias("start_time"),
-        F.concat(F.lit("SELECT "), F.col("event_type"), F.lit(" FROM t"), u.cast("string"),
-                 F.lit(" WHERE id = "), F.col("event_id").cast("string"),
-                 F.when(u % 2 == 0, " AND x > 1").otherwise("")).alias("statement_text"),
-        F.when(F.col("event_type") == "signup", "INSERT").otherwise("SELECT").alias("statement_type"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("execution_status"),
-        (F.col("value") * 1000).alias("total_duration_ms"),
-        (F.col("value") * 1e10).alias("read_bytes"),
-        (F.col("event_id") % 20).alias("read_files"),
-        F.when(u % 3 == 0, F.lit(0)).otherwise(F.col("event_id") % 7).cast("bigint").alias("pruned_files"),
-        F.struct((u % 8).cast("string").alias("warehouse_id")).alias("compute"),
+    o = load(spark, sf_dir, "orders")
+    ck, ok = F.col("o_custkey"), F.col("o_orderkey")
+    return o.select(
+        ok.alias("query_id"), (ck % 4).cast("string").alias("workspace_id"), F.col("o_orderdate").alias("start_time"),
+        F.concat(F.lit("SELECT "), F.col("o_orderpriority"), F.lit(" FROM t"), ck.cast("string"),
+                 F.lit(" WHERE id = "), ok.cast("string"),
+                 F.when(ck % 2 == 0, " AND x > 1").otherwise("")).alias("statement_text"),
+        F.when(F.col("o_orderstatus") == "P", "INSERT").otherwise("SELECT").alias("statement_type"),
+        F.when(ok % 13 == 0, "FAILED").otherwise("FINISHED").alias("execution_status"),
+        (F.col("o_totalprice") * 10).alias("total_duration_ms"),
+        (F.col("o_totalprice") * 1000000).alias("read_bytes"),
+        (ok % 20).alias("read_files"),
+        F.when(F.col("o_orderpriority").startswith("1"), F.lit(0)).otherwise(ok % 7).cast("bigint")
+        .alias("pruned_files"),
+        F.struct((ck % 10).cast("string").alias("warehouse_id")).alias("compute"),
     )
 
 
 def node_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events")
-    return e.select(
-        (F.col("user_id") % 100).cast("string").alias("cluster_id"), F.col("ts").alias("start_time"),
-        (F.col("event_id") % 10 == 0).alias("driver"),
-        (F.col("value") / 20 + F.col("user_id") % 30).alias("cpu_user_percent"),
-        (F.col("value") / 50).alias("cpu_system_percent"),
-        (F.col("value") / 8).alias("mem_used_percent"))
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_suppkey").cast("string").alias("cluster_id"), F.col("l_shipdate").alias("start_time"),
+        (F.col("l_linenumber") == 1).alias("driver"),
+        (F.col("l_discount") * 100 + F.col("l_suppkey") % 30).alias("cpu_user_percent"),
+        (F.col("l_tax") * 50).alias("cpu_system_percent"),
+        F.col("l_quantity").alias("mem_used_percent"))
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,13 +349,14 @@ def model_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_run_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = task_runs(spark, sf_dir)
-    return t.select(
-        F.col("pipeline_id").alias("job_id"), F.col("pipeline_run_id").alias("run_id"),
-        (F.col("pipeline_id") % 4).cast("string").alias("workspace_id"),
-        F.col("status").alias("result_state"), F.col("started_at").alias("period_start_time"),
-        (F.col("started_at") + F.make_dt_interval(
-            secs=(F.col("duration_s") * 1000000).cast("bigint").cast("decimal(18,0)") / 1000000))
+    o = load(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    return o.select(
+        (F.col("o_custkey") % 60).alias("job_id"), F.col("o_orderkey").alias("run_id"),
+        (F.col("o_custkey") % 4).cast("string").alias("workspace_id"),
+        F.when(st == "F", "SUCCEEDED").when(st == "O", "FAILED").otherwise("CANCELLED").alias("result_state"),
+        F.col("o_orderdate").alias("period_start_time"),
+        (F.col("o_orderdate") + F.make_dt_interval(secs=F.floor(F.col("o_totalprice") / 10)))
         .alias("period_end_time"))
 
 
