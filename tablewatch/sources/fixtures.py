@@ -156,6 +156,8 @@ def with_fixtures(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} as ({FIXTURE_SQL[n]}\n)" for n in needed)
     body = sql.lstrip()
+    if body[:14].lower() == "with recursive":
+        return f"with recursive {ctes},\n{body[14:].lstrip()}"
     if body[:4].lower() == "with":
         return f"with {ctes},\n{body[4:].lstrip()}"
     return f"with {ctes}\n{body}"
