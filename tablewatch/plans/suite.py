@@ -148,7 +148,7 @@ GATE_AS_OF = "2024-01-15 12:00:00"
 @query("gate_groups", f"""
 with st as (
   select pipeline_run_id,
-    case when started_at + to_microseconds(cast(duration_s * 1000000 as bigint)) > timestamp '{GATE_AS_OF}'
+    case when started_at + to_microseconds(cast(floor(duration_s * 1000000) as bigint)) > timestamp '{GATE_AS_OF}'
          then 'RUNNING' else status end as status
   from task_runs where started_at <= timestamp '{GATE_AS_OF}')
 select pipeline_run_id, count(*) as n_tasks,

@@ -70,11 +70,11 @@ select * from (values ('ALL_PURPOSE_COMPUTE', 0.55, 'USD', cast(null as timestam
   as t(sku_name, unit_price, currency_code, price_end_time)""",
     "task_runs": """
 select event_id as task_run_id, user_id as pipeline_id,
-  user_id * 100 + day(ts) as pipeline_run_id, ts as started_at, value as duration_s,
+  user_id * 100 + day(ts) as pipeline_run_id, ts as started_at, value * 60 as duration_s,
   case event_type when 'error' then 'FAILED' when 'view' then 'SKIPPED' else 'SUCCEEDED' end as status,
   case when event_id % 4 = 0 then 'PYTHON' when event_id % 4 = 1 then 'DBT_CORE'
        when event_id % 4 = 2 then 'SNOWFLAKE' else 'HTTP' end as integration,
-  case when user_id % 10 = 0 then 'feature/x' else 'main' end as branch,
+  case when (user_id * 100 + day(ts)) % 7 = 0 then 'feature/x' else 'main' end as branch,
   case when event_type <> 'error' then null when event_id % 5 = 0 then '401 Unauthorized: token expired'
        when event_id % 5 = 1 then 'Request timed out' when event_id % 5 = 2 then 'could not connect: DNS resolution failed'
        when event_id % 5 = 3 then 'sync already running' else 'KeyError: value' end as message
@@ -245,11 +245,12 @@ def task_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         eid.alias("task_run_id"), F.col("user_id").alias("pipeline_id"),
         (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("pipeline_run_id"),
-        F.col("ts").alias("started_at"), F.col("value").alias("duration_s"),
+        F.col("ts").alias("started_at"), (F.col("value") * 60).alias("duration_s"),
         F.when(et == "error", "FAILED").when(et == "view", "SKIPPED").otherwise("SUCCEEDED").alias("status"),
         F.when(eid % 4 == 0, "PYTHON").when(eid % 4 == 1, "DBT_CORE").when(eid % 4 == 2, "SNOWFLAKE")
         .otherwise("HTTP").alias("integration"),
-        F.when(F.col("user_id") % 10 == 0, "feature/x").otherwise("main").alias("branch"),
+        F.when((F.col("user_id") * 100 + F.dayofmonth("ts")) % 7 == 0, "feature/x").otherwise("main")
+        .alias("branch"),
         F.when(et != "error", F.lit(None).cast("string"))
         .when(eid % 5 == 0, "401 Unauthorized: token expired").when(eid % 5 == 1, "Request timed out")
         .when(eid % 5 == 2, "could not connect: DNS resolution failed")
