@@ -1 +1,99 @@
-"""Registered queries."""
+"""Registered streaming queries (section 2.13). ``events`` is landed as five file groups
+(``event_id % 5``) in a fresh folder and consumed with ``availableNow``."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tablewatch.plans.common import AS_OF_EVENTS, query, t
+from tablewatch.session import scratch_path
+from tablewatch.streaming import stream as st
+
+SCHEMA = st.EVENTS_SCHEMA
+
+
+def _landed(spark, d, where=None):
+    base = scratch_path(spark, f"stream/{uuid.uuid4().hex}")
+    e = t(spark, d, "events")
+    if where is not None:
+        e = e.where(where)
+    st.split_to_files(e, f"{base}/source", F.col("event_id") % 5, 5)
+    return base
+
+
+@query("stream_incremental_count", "select count(*) as new_rows, 5 as batches from events")
+def _incremental(spark, d):
+    base = _landed(spark, d)
+    per_batch = st.stream_incremental_count(spark, f"{base}/source", SCHEMA, f"{base}/sink", f"{base}/ckpt")
+    return per_batch.agg(F.sum("new_rows").alias("new_rows"), F.countDistinct("batch_id").cast("int").alias("batches"))
+
+
+TESTS_SQL = """select 'value_over_100' as test_name, count_if(value > 100) as violations from events
+union all select 'unknown_type', count_if(event_type not in ('click', 'view', 'error', 'signup', 'purchase')) from events
+union all select 'null_user', count_if(user_id is null) from events"""
+
+
+@query("stream_dq", TESTS_SQL)
+def _stream_dq(spark, d):
+    base = _landed(spark, d)
+    tests = {"value_over_100": F.col("value") > 100,
+             "unknown_type": ~F.col("event_type").isin("click", "view", "error", "signup", "purchase"),
+             "null_user": F.col("user_id").isNull()}
+    out = st.stream_dq(spark, f"{base}/source", SCHEMA, tests, f"{base}/sink", f"{base}/ckpt")
+    return out.groupBy("test_name").agg(F.sum("violations").alias("violations"))
+
+
+@query("stream_freshness", f"""
+select max(ts) as max_ts, count(*) as rows,
+  cast(floor(epoch(timestamp '{AS_OF_EVENTS}')) - floor(epoch(max(ts))) as bigint) as age_s,
+  case when floor(epoch(timestamp '{AS_OF_EVENTS}')) - floor(epoch(max(ts))) > 259200 then 'error'
+       when floor(epoch(timestamp '{AS_OF_EVENTS}')) - floor(epoch(max(ts))) > 86400 then 'warn' else 'pass' end as state
+from events""")
+def _stream_freshness(spark, d):
+    base = _landed(spark, d)
+    state = st.stream_freshness(spark, f"{base}/source", SCHEMA, "ts", f"{base}/sink", f"{base}/ckpt")
+    return st.freshness_of(state, AS_OF_EVENTS)
+
+
+@query("stream_cursor_drift", """
+with s as (select count(*) as n, max(ts) as mx from events),
+d as (select count(*) as n, max(ts) as mx from events where event_id % 97 <> 0)
+select s.n as src_rows, d.n as dst_rows, d.n - s.n as count_drift, s.mx as src_max, d.mx as dst_max,
+  cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s from s, d""")
+def _stream_drift(spark, d):
+    src = _landed(spark, d)
+    dst = _landed(spark, d, F.col("event_id") % 97 != 0)  # the copy that lost some rows
+    s = st.stream_side_totals(spark, f"{src}/source", SCHEMA, "ts", f"{src}/sink", f"{src}/ckpt")
+    dd = st.stream_side_totals(spark, f"{dst}/source", SCHEMA, "ts", f"{dst}/sink", f"{dst}/ckpt")
+    return st.cursor_drift(s, dd)
+
+
+@query("ready_check", """
+with c as (select 'orders_since_2001' as check_name,
+             (select count(*) from (select 1 from orders where o_orderdate >= timestamp '2001-01-01 00:00:00' limit 1)) > 0 as passed
+           union all select 'lineitem_shipped_late_2001',
+             (select count(*) from (select 1 from lineitem where l_shipdate >= timestamp '2001-11-01 00:00:00' limit 1)) > 0
+           union all select 'events_after_as_of',
+             (select count(*) from (select 1 from events where ts > timestamp '2024-01-31 00:00:00' limit 1)) > 0)
+select * from c union all select 'ALL', bool_and(passed) from c""")
+def _ready(spark, d):
+    checks = {
+        "orders_since_2001": t(spark, d, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")),
+        "lineitem_shipped_late_2001": t(spark, d, "lineitem").where(
+            F.col("l_shipdate") >= F.lit("2001-11-01").cast("timestamp_ntz")),
+        "events_after_as_of": t(spark, d, "events").where(F.col("ts") > F.lit(AS_OF_EVENTS).cast("timestamp_ntz")),
+    }
+    return st.ready_check(checks)
+
+
+@query("ready_timeout", """
+select strftime(cast(ts as date), '%Y-%m-%d') as day,
+  min(case when ts >= cast(cast(ts as date) as timestamp) + interval 6 hour
+            and ts <= cast(cast(ts as date) as timestamp) + interval 6 hour + interval 20 minute then ts end) as first_arrival,
+  min(case when ts >= cast(cast(ts as date) as timestamp) + interval 6 hour
+            and ts <= cast(cast(ts as date) as timestamp) + interval 6 hour + interval 20 minute then ts end) is not null as ready
+from events group by 1""")
+def _ready_timeout(spark, d):
+    return st.ready_timeout(t(spark, d, "events"), "ts", 6, 20)
