@@ -31,7 +31,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    driver_mem = os.environ.get("TABLEWATCH_DRIVER_MEMORY")
+    # Local mode runs everything in the driver JVM; its 1 GB default is too small for
+    # hash joins at test scale. On a cluster the deployment sets executor/driver memory.
+    driver_mem = os.environ.get("TABLEWATCH_DRIVER_MEMORY") or ("16g" if (master or "").startswith("local") else None)
     if driver_mem:
         builder = builder.config("spark.driver.memory", driver_mem)
     spark = builder.getOrCreate()
