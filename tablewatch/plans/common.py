@@ -30,6 +30,13 @@ def query(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver or fixture table. Also makes sure the session is in UTC (epoch
+    conversions of timestamp_ntz depend on it) and has a checkpoint folder
+    (iterative operators cut lineage there); an existing folder is kept."""
+    from tablewatch.session import checkpoint_dir
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    checkpoint_dir(spark)
     return table(spark, sf_dir, name)
 
 
