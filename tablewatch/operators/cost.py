@@ -295,7 +295,7 @@ def findings_summary(findings: DataFrame) -> DataFrame:
     today = findings.join(F.broadcast(latest), F.col("run_date") == F.col("__d"), "inner").drop("__d")
     j = today.join(hist, ["check_id", "resource_id"], "inner")
     return j.select(*FINDING_COLUMNS, "first_seen", "last_seen",
-                    F.datediff("last_seen", "first_seen").alias("days_open"),
+                    F.datediff("last_seen", "first_seen").cast("bigint").alias("days_open"),
                     (F.col("first_seen") == F.col("run_date")).alias("is_new"))
 
 

@@ -92,7 +92,7 @@ with p as (select * from (values (100000), (200000), (300000)) as a(min_price),
                          (values ('F'), ('O'), ('P'), ('X')) as b(status)),
 c as (select min_price, status, count(*) as n from orders join p on o_orderstatus = status and o_totalprice > min_price
       group by 1, 2)
-select p.min_price, p.status, coalesce(c.n, 0) as n from p left join c using (min_price, status)""")
+select cast(p.min_price as bigint) as min_price, p.status, coalesce(c.n, 0) as n from p left join c using (min_price, status)""")
 def _scenario(spark, d):
     return tf.scenario_cross(t(spark, d, "orders"), "min_price", [100000, 200000, 300000], "status",
                              ["F", "O", "P", "X"],
