@@ -17,6 +17,28 @@ AS_OF_LINEITEM = "2001-12-01 00:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` returns a 128-bit integer; wrap each call as bigint so the
+    oracle's types equal Spark's ``count_if`` (bigint)."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(token):k - 1])
+        out.append(sql[i:j] + f"cast(count_if({inner}) as bigint)")
+        i = k
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name`` with its oracle SQL (optional)."""
     def deco(fn):
@@ -24,7 +46,7 @@ def query(name: str, sql: str | None = None):
             raise KeyError(f"duplicate query key {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_fixtures(sql.strip())
+            ORACLE[name] = bigint_counts(with_fixtures(sql.strip()))
         return fn
     return deco
 

@@ -69,7 +69,8 @@ def _replace_day(spark, d):
              .agg(F.count(F.lit(1)).alias("n")))
     io.replace_day(daily, path)
     io.replace_day(daily.where(F.col("run_date") == "2024-01-15"), path)  # a re-run of one day
-    return spark.read.parquet(path).select("run_date", "event_type", "n")
+    # Partition values come back type-inferred (date); report them as the ISO text written.
+    return spark.read.parquet(path).select(F.col("run_date").cast("string"), "event_type", "n")
 
 
 @query("rebuild_partition", f"""
@@ -81,7 +82,7 @@ def _rebuild(spark, d):
     io.replace_day(daily, path)
     fixed = daily.withColumn("n", F.col("n") * 10)  # the corrected logic for the backfilled day
     io.rebuild_partition(fixed, path, "run_date", "2024-01-15")
-    return spark.read.parquet(path).select("run_date", "event_type", "n")
+    return spark.read.parquet(path).select(F.col("run_date").cast("string"), "event_type", "n")
 
 
 @query("schema_catalog", """

@@ -134,7 +134,7 @@ with v as (
   union all select 'priority_placeholder', o_orderkey from orders_dirty
     where lower(o_orderpriority) in ('n/a','na','null','none','test','-','unknown')
   union all select 'price_range', o_orderkey from orders_dirty where not (o_totalprice between 1000 and 400000)),
-r as (select test_name, o_orderkey, row_number() over (partition by test_name order by o_orderkey) as sample_rank from v),
+r as (select test_name, o_orderkey, cast(row_number() over (partition by test_name order by o_orderkey) as integer) as sample_rank from v),
 c as (select test_name, count(*) as violations_total from v group by 1)
 select r.test_name, r.o_orderkey, r.sample_rank, c.violations_total from r join c using (test_name)
 where sample_rank <= 100""")
