@@ -1,11 +1,76 @@
-"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, decontamination, packing."""
+"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, decontamination, packing.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept, whatever
+further columns they have. The first four return the columns of ``docs``; ``n_chars``, if there is
+one, follows a changed text. Rows that share a doc_id are one document from line dedup on."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewatch.llm import quality
+from tablewatch.llm.common import prepare, stored
+from tablewatch.llm.decontaminate import find_benchmark
+from tablewatch.llm.line_dedup import remove_repeated_lines
+from tablewatch.llm.minhash_dedup import near_duplicates
+from tablewatch.llm.packing import pack_documents
+from tablewatch.llm.queries import vocabulary
+
+WORDS, PERCENT, GRAMS, CAPACITY = 5, 80, 10, 1024
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier does not reject."""
+    return quality.keep_good(docs, quality.learn(docs))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier line matches; every document keeps its row."""
+    mended = remove_repeated_lines(docs).filter("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    both = docs.join(mended, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    text = F.coalesce("__text", "text")
+    new = {"text": text} | ({"n_chars": F.coalesce(F.length("__text").cast(docs.schema["n_chars"].dataType), "n_chars")} if "n_chars" in docs.columns else {})
+    return both.withColumns(new).select(*docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near duplicates."""
+    gone = (near_duplicates(docs, words=WORDS, percent=PERCENT).filter("doc_id <> component_id")
+            .select(F.col("doc_id").alias("__id")))
+    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hit = (find_benchmark(docs, benchmark, n=GRAMS).filter("n_hit > 0").select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document, with its sequence and place."""
+    return pack_documents(docs, vocabulary(), capacity=CAPACITY, end_id=2)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", minhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: The stages train a classifier, tokenise and search for a packing, which SQL cannot express; the
+#: tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, name.replace(" ", "-"))
     return docs

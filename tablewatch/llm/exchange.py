@@ -30,7 +30,7 @@ Extract = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray, n
 def planes(a: np.ndarray) -> bytes:
     """Fixed-width values byte plane by byte plane: small numbers become runs of zeros, which the
     shuffle's compression removes."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
 
 
 def unplanes(blob: memoryview, at: int, n: int, dtype) -> tuple[np.ndarray, int]:
@@ -56,9 +56,9 @@ def unpack(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     delta, at = unplanes(view, at, n, np.int32)
     flag = np.frombuffer(view, np.uint8, n, at)
     at += n
-    key = np.zeros((n, 8), np.uint8)
+    key = np.zeros((n, 8), np.uint8)  # the bytes sent become the high ones, by which keys are sorted
     if width:
-        key[:, :width] = np.frombuffer(view, np.uint8, n * width, at).reshape(width, n).T
+        key[:, 8 - width:] = np.frombuffer(view, np.uint8, n * width, at).reshape(width, n).T
     return np.repeat(ids, counts), np.cumsum(delta, dtype=np.int64).astype(np.int32), flag, key.view(U).reshape(n)
 
 

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewatch.llm import quality
 from tablewatch.llm.common import prepare
+from tablewatch.llm.decontaminate import find_benchmark
+from tablewatch.llm.line_dedup import remove_repeated_lines
+from tablewatch.llm.minhash_dedup import near_duplicates
+from tablewatch.llm.neighbour_graph import near_duplicate_vectors
+from tablewatch.llm.packing import pack_documents
 from tablewatch.llm.substring_dedup import remove_repeats
+from tablewatch.llm.suffix_dedup import remove_repeated_bytes
+from tablewatch.llm.token_counts import count_tokens
+from tablewatch.llm.toxicity import toxicity
+
+#: The vocabulary of the token queries; a parameter of their operators.
+VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +40,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(VOCABULARY))
+
+
+def sha256_of(text: str):
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+@query("op1_embedding_near_dedup")
+def op1(spark, sf_dir):
+    return near_duplicate_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query("op2_quality_classifier")
+def op2(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.learn(docs))
+
+
+@query("op3_suffix_array_dedup")
+def op3(spark, sf_dir):
+    out = remove_repeated_bytes(read(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_substring_dedup", r"""
 with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 win as (select doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) as h
@@ -44,4 +82,39 @@ left join (select doc_id, count(*) as n from gone group by doc_id) g using (doc_
 """)
 def op4(spark, sf_dir):
     out = remove_repeats(read(spark, sf_dir, "documents"), window=35)
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", sha256_of("text").alias("kept_sha256"))
+
+
+@query("op5_token_counts")
+def op5(spark, sf_dir):
+    return count_tokens(read(spark, sf_dir, "documents"), vocabulary(), limit=512)
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark, sf_dir):
+    out = find_benchmark(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark, sf_dir):
+    out = near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op8_line_dedup")
+def op8(spark, sf_dir):
+    out = remove_repeated_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", sha256_of("text").alias("kept_sha256"))
+
+
+@query("op9_best_fit_packing")
+def op9(spark, sf_dir):
+    return pack_documents(read(spark, sf_dir, "documents"), vocabulary(), capacity=1024, end_id=2)
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
