@@ -131,4 +131,4 @@ def covered(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     depth = np.zeros(length + 1, np.int32)
     np.add.at(depth, starts, 1)
     np.add.at(depth, ends, -1)
-    return np.cumsum(depth[:-1]) > 0
+    return np.cumsum(depth[:-1], dtype=np.int32) > 0

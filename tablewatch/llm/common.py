@@ -13,9 +13,9 @@ CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Arrow batches of at most 8 MB, so that a Python worker's memory does not follow the
+    """Arrow batches of at most 2 MB, so that a Python worker's memory does not follow the
     length of the texts; a single longer text is a batch of its own."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
     checkpoint_dir(spark)
 
 

@@ -36,7 +36,7 @@ from tablewatch.llm.bytetext import U
 from tablewatch.llm.common import corpus, prepare, stored
 
 GRAM = 32
-CHUNK = 1 << 19               # bytes hashed at a time
+CHUNK = 1 << 18               # bytes hashed at a time
 SEGMENT_BUFFER = 12 << 20     # segment bytes a task gathers before it sends them
 ARRAY_BYTES = 1_200_000       # bytes of one suffix array, as planned
 NULL_ID = -1 << 62
@@ -45,7 +45,6 @@ NULL_ID = -1 << 62
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stretches of window starts with one anchor: first start, last start, anchor place, anchor hash."""
     span = length - GRAM + 1
-    end_of = np.repeat(offsets[1:], np.diff(offsets))  # end of the row each byte lies in
     parts = []
     for lo in range(0, max(0, len(data) - length + 1), CHUNK):
         hi = min(len(data), lo + CHUNK + length - 1)
@@ -59,7 +58,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
         if width < span:
             least = np.minimum(least[:len(least) - (span - width)], least[span - width:])
         start = np.arange(lo, lo + len(least))
-        ok = start + length <= end_of[start]
+        ok = start + length <= offsets[np.searchsorted(offsets, start, side="right")]  # within its row
         start, at = start[ok], (least[ok] & U((1 << 20) - 1)).astype(np.int64)
         if len(start):
             # A stretch ends where the anchor changes or the next window is of another row.
@@ -244,7 +243,7 @@ def _removed(length: int):
             pairs, row = ex.positions(batch.column("spans"))
             start, run, row = pairs[0::2], pairs[1::2], row[0::2]
             gone = bt.covered(len(data), offsets[row] + start, offsets[row] + start + run - 1 + length)
-            left = np.concatenate(([0], np.cumsum(~gone)))[offsets]
+            left = np.concatenate(([0], np.cumsum(~gone, dtype=np.int32)))[offsets]
             kept = data[~gone].tobytes()
             head = np.zeros(len(data), bool)
             head[1:] = gone[:-1]
