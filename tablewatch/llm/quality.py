@@ -30,15 +30,16 @@ SHAPE_BITS = 12
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 ROUNDS = 100
 FEW_WORDS = 8       # shorter texts get no votes
+START = ((0.40, 0.60), (0.05, 0.95))  # shares of bad and good votes on bad, and on good documents
 
 # Fixed values: (name, bad from, good up to, whether small values are the bad ones).
 LABELLERS = (
-    ("signs", 0.25, 0.05, False),        # words with a sign other than . , ; : ' " - ( ) ?
-    ("shouting", 0.30, 0.05, False),     # words of two and more capitals
-    ("repeats", 0.15, 0.02, False),      # words equal to the word before
-    ("variety", 0.20, 0.35, True),       # distinct words among the first 256
-    ("sentences", 0.005, 0.03, True),    # words that end a sentence with . or ?
-    ("bare signs", 0.15, 0.02, False),   # words without any letter or digit
+    ("signs", 0.15, 0.05, False),        # words with a sign other than . , ; : ' " - ( ) ?
+    ("shouting", 0.25, 0.05, False),     # words of two and more capitals
+    ("repeats", 0.15, 0.05, False),      # words equal to the word before
+    ("variety", 0.35, 0.50, True),       # distinct words among the first 256
+    ("sentences", 0.010, 0.04, True),    # words that end a sentence with . or ?
+    ("bare signs", 0.15, 0.03, False),   # words without any letter or digit
     ("long words", 0.50, 0.20, False),   # words of more than 12 bytes
 )
 
@@ -125,9 +126,9 @@ def _vote_counts(batches):
 def accuracies(count: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of "good" for every pattern, and each labeller's vote shares given bad and good.
 
-    Labels are independent given the truth. The start trusts every labeller somewhat, which also
-    fixes which of the two classes is called good. Votes keep a small prior, so an unused one
-    never decides."""
+    Labels are independent given the truth; silence tells nothing. The start trusts a bad vote more
+    than a good one, since a labeller looks for one kind of fault and calls every other kind good; it
+    also fixes which of the two classes is called good. A small prior keeps unused votes from deciding."""
     m = len(LABELLERS)
     patterns = np.arange(3 ** m)
     votes = patterns[:, None] // 3 ** np.arange(m) % 3
@@ -136,12 +137,11 @@ def accuracies(count: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         weight[p] = n
     cast = [(votes == v) for v in range(3)]
     given = np.empty((2, m, 3))                       # truth, labeller, vote
-    given[0], given[1] = (0.3, 0.5, 0.2), (0.3, 0.1, 0.6)
+    given[0], given[1] = (0.0, *START[0]), (0.0, *START[1])
     good = 0.8
     post = np.full(3 ** m, good)
     total = max(weight.sum(), 1.0)
     for _ in range(ROUNDS):
-        # Silence tells nothing: only good and bad votes count.
         ratio = np.log(good / (1 - good))
         odds = ratio + sum(cast[v] @ np.log(given[1, :, v] / given[0, :, v]) for v in (1, 2))
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
@@ -149,9 +149,8 @@ def accuracies(count: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         for truth, belief in ((0, 1 - post), (1, post)):
             mass = weight * belief
             prior = 0.01 * mass.sum() + 1
-            trust = (0.1, 0.9) if truth else (0.9, 0.1)
             for v in (1, 2):
-                spoken = mass @ cast[v] + prior * trust[v - 1]
+                spoken = mass @ cast[v] + prior * START[truth][v - 1]
                 both = mass @ cast[1] + mass @ cast[2] + prior
                 given[truth, :, v] = spoken / both
     return post, given
@@ -223,7 +222,7 @@ def _fit(rows: list[tuple[float, int, bytes]]) -> tuple[np.ndarray, float]:
     return weight, float(bias)
 
 
-def classify(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def classify(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.25) -> DataFrame:
     """``(doc_id, posterior, score, kept)`` for each row."""
     shared = df.sparkSession.sparkContext.broadcast(scorer)
 
@@ -240,7 +239,7 @@ def classify(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: st
     return docs.mapInArrow(work, "doc_id long, posterior double, score double, kept boolean")
 
 
-def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = 0.25) -> DataFrame:
     """The rows of ``df``, all columns as they are, that the scorer keeps. One scan, no shuffle."""
     shared = df.sparkSession.sparkContext.broadcast(scorer)
     place = df.columns.index(text_col)

@@ -33,7 +33,7 @@ TERM_BITS = 18
 POSITIVES, NEGATIVES = 6_000, 14_000
 TERMS = 4_096
 FACTORS = 8
-LEAST_Z = 3.0
+LEAST_Z = 6.0
 STEPS, RATE, DECAY = 150, 0.05, 2e-3
 
 
