@@ -27,25 +27,25 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line matches; every document keeps its row."""
-    mended = remove_repeated_lines(docs).filter("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    both = docs.join(mended, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    text = F.coalesce("__text", "text")
-    new = {"text": text} | ({"n_chars": F.coalesce(F.length("__text").cast(docs.schema["n_chars"].dataType), "n_chars")} if "n_chars" in docs.columns else {})
-    return both.withColumns(new).select(*docs.columns)
+    mended = remove_repeated_lines(docs).filter("n_removed > 0")
+    both = docs.join(mended, docs["doc_id"].eqNullSafe(mended["doc_id"]), "left")
+    new = {"text": F.coalesce(mended["text"], docs["text"])}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length(mended["text"]).cast(docs.schema["n_chars"].dataType), docs["n_chars"])
+    return both.select(*(new.get(c, docs[f"`{c}`"]).alias(c) for c in docs.columns))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates."""
-    gone = (near_duplicates(docs, words=WORDS, percent=PERCENT).filter("doc_id <> component_id")
-            .select(F.col("doc_id").alias("__id")))
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    gone = near_duplicates(docs, words=WORDS, percent=PERCENT).filter("doc_id <> component_id").select("doc_id")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = (find_benchmark(docs, benchmark, n=GRAMS).filter("n_hit > 0").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    hit = find_benchmark(docs, benchmark, n=GRAMS).filter("n_hit > 0").select("doc_id").distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
