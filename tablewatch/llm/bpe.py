@@ -6,13 +6,15 @@ vectorised over a batch, and only pieces that the worker's table does not hold a
 table has a fixed number of slots, so memory is bounded whatever the texts contain.
 
 Pieces are merged by ``tiktoken``, which does the same merges several times faster, if the file's
-merges are in the order of their ids, as its ranks demand. Texts that hold a special token's string,
-and vocabularies that split or merge in another way, go to the ``tokenizers`` library whole."""
+merges are in the order of their ids, as its ranks demand. Texts that hold a special token's string
+or a code point that not every Unicode version assigns, and vocabularies that split or merge in
+another way, go to the ``tokenizers`` library whole."""
 
 from __future__ import annotations
 
 import json
 import os
+import unicodedata
 
 import numpy as np
 import regex
@@ -25,7 +27,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 SLOT_BITS = 20
 SHORT = 6                       # ids kept in a slot; longer pieces are encoded again when they return
 CHUNK = 1 << 20                 # bytes split at a time, at document ends
-OTHER, LETTER, NUMBER, SPACE = range(4)
+OTHER, LETTER, NUMBER, SPACE, DOUBT = range(5)
 
 _KINDS: list[np.ndarray] = []
 
@@ -38,16 +40,20 @@ def kinds() -> np.ndarray:
         for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
             for m in regex.finditer(pattern, every):
                 table[m.start():m.end()] = kind
+        new = [c for c in np.flatnonzero(table).tolist() if unicodedata.category(chr(c)) == "Cn"]
+        table[new] = DOUBT
         _KINDS.append(table)
     return _KINDS[0]
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every piece, and its row."""
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Start and end byte of every piece, and its row; None if a code point's class is in doubt."""
     lead = (data & 0xC0) != 0x80
     at = np.flatnonzero(lead)                                   # first byte of each code point
     point = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
     kind = kinds()[point]
+    if (kind == DOUBT).any():
+        return None
     n = len(point)
     edge = np.zeros(n + 1, bool)                                # rows begin here
     edge[np.searchsorted(at, offsets)] = True
@@ -127,23 +133,33 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Chunks ``(first row, ids, id offsets of the rows)`` that cover all rows in order."""
-        lo, n = 0, len(offsets) - 1
+        n, lo = len(offsets) - 1, 0
         while lo < n:
             hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, side="right")) - 1)
-            part, cut = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-            raw = part.tobytes()
-            if not self.by_piece or any(s in raw for s in self.special):
-                ids = self.whole([raw[a:b].decode() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())])
-                yield lo, np.array([x for i in ids for x in i], np.uint32), np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
-            else:
-                ids, rows = self._pieces(part, cut, raw)
-                yield lo, ids, rows
+            got = self._pieces(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+            if got:
+                yield lo, *got
+            else:  # row by row: the library takes the texts that need it
+                for i in range(lo, hi):
+                    text = data[offsets[i]:offsets[i + 1]]
+                    got = self._pieces(text, offsets[i:i + 2] - offsets[i])
+                    if not got:
+                        ids = np.array(self.whole([text.tobytes().decode()])[0], np.uint32)
+                        got = ids, np.array([0, len(ids)])
+                    yield i, *got
             lo = hi
 
-    def _pieces(self, data, offsets, raw):
+    def _pieces(self, data, offsets):
+        """Ids and the rows' offsets in them; None if the library has to take some text whole."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        begin, end, row = pieces(data, offsets)
+        raw = data.tobytes()
+        if not self.by_piece or any(s in raw for s in self.special):
+            return None
+        split = pieces(data, offsets)
+        if split is None:
+            return None
+        begin, end, row = split
         key = bt.word_hashes(data, begin, end)
         slot = (key >> U(64 - SLOT_BITS)).astype(np.int64)
         known = self.keys[slot] == key

@@ -227,7 +227,9 @@ def test_pieces_equal_the_library():
     assert enc.by_piece
     rng = random.Random(1)
     signs = list("ab'strevlmd  \n\n\t.!,19éñ") + ["'s", "'re", "'ll", "<|endoftext|>", " ", " ", "\x85", "\x1c", "​", "　", "中", "🙂", "²", "́"]
-    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(4000)] + [None, "", "supercalifragilisticexpialidociousness" * 9]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
+    texts += ["".join(rng.choice(signs + [chr(rng.randrange(0x20, 0xD7FF)), chr(rng.randrange(0xE000, 0x1FFFF))]) for _ in range(12)) for _ in range(3000)]
+    texts += [None, "", "a<|endoftext|> b", "<|endoftext|>", "<|endoftext", "supercalifragilisticexpialidociousness" * 9]
     got = [ids[a:b].tolist() for _, ids, rows in enc.encode(*bt.utf8(pa.array(texts, pa.string()))) for a, b in zip(rows[:-1], rows[1:])]
     assert got == enc.whole([t or "" for t in texts])
     assert np.count_nonzero(enc.keys)
