@@ -3,8 +3,8 @@
 Freshness is a grouped ``max`` with the predicate applied *before* the
 aggregate, so partition and row-group pruning apply. Propagation over the
 model graph is an iterative frontier join: each round joins only the newly
-reached models with the edge list, stops at a fixed point (bounded by the
-graph depth), and checkpoints the reached set so lineage stays short.
+reached models with the edge list, stops at a fixed point, and checkpoints each
+round, so lineage stays short and graphs may be of any depth.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.functions.graph import reach
 from tablewatch.functions.timeutil import epoch_seconds, period_seconds, ts_lit
 
 # Load-time column names, strongest first; the last two are weak signals.
@@ -121,27 +122,6 @@ def build_gate(models: DataFrame, upstream: DataFrame, as_of, count: int, period
     return g.select("model_id", elapsed.alias("elapsed"), "any_fresh", "all_fresh", (elapsed & gate).alias("rebuild"))
 
 
-def reach_downstream(edges: DataFrame, seeds: DataFrame, max_depth: int = 64) -> DataFrame:
-    """All nodes reachable from ``seeds`` (column ``node``) along ``edges`` (parent -> child),
-    with the smallest depth. Frontier iteration to a fixed point; the reached set is
-    checkpointed each round (shared checkpoint folder), so lineage does not grow."""
-    e = edges.select("parent", "child")
-    reached = seeds.select("node").distinct().withColumn("depth", F.lit(0))
-    frontier = reached
-    for depth in range(1, max_depth + 1):
-        nxt = (frontier.join(e, frontier["node"] == e["parent"], "inner").select(F.col("child").alias("node"))
-               .distinct().join(reached.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(depth)))
-        nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
-        reached = reached.unionByName(nxt).checkpoint(eager=True)
-        frontier = nxt
-    else:
-        raise RuntimeError("graph deeper than max_depth (cycle?)")
-    return reached
-
-
 def build_propagate(edges: DataFrame, sources: DataFrame, as_of, stale_hours: int = 24) -> DataFrame:
     """Models below a stale source are skipped: stale sources seed a downstream walk.
 
@@ -149,7 +129,7 @@ def build_propagate(edges: DataFrame, sources: DataFrame, as_of, stale_hours: in
     Returns (model_id, depth) for every skipped model (depth 0 = fed directly)."""
     stale = sources.where(F.col("loaded_at") < ts_lit(as_of) - F.expr(f"INTERVAL {int(stale_hours)} HOURS"))
     seeds = stale.select(F.col("model_id").alias("node"))
-    return reach_downstream(edges, seeds).select(F.col("node").alias("model_id"), "depth")
+    return reach(edges, seeds).select(F.col("node").alias("model_id"), "depth")
 
 
 def usage_reads(access_log: DataFrame, as_of, days: int = 7) -> DataFrame:

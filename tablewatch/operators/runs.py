@@ -11,15 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewatch.functions.graph import Known, layers
 from tablewatch.functions.timeutil import epoch_seconds, ts_lit
 from tablewatch.functions.windows import day_bucket, with_prev_running_max, with_prev_value
-from tablewatch.operators.freshness import reach_downstream
 
 # Failure categories in priority order with their log signals
 # (case-insensitive, RE2/Java-compatible). Earlier categories win when a
 # message matches several; every match is also listed.
 FAILURE_SIGNALS = [
-    ("AUTH_FAILURE", r"(?i)(401|403|unauthorized|forbidden|access denied|token expired|invalid credentials|"
+    ("AUTH_FAILURE", r"(?i)(\b40[13]\b|unauthorized|forbidden|access denied|token expired|invalid credentials|"
                      r"authentication failed|could not assume role|insufficient permissions|request timed out)"),
     ("TIMEOUT", r"(?i)(timeout|timed out|deadline exceeded|execution time limit)"),
     ("NETWORK_ERROR", r"(?i)(connection refused|econnrefused|dns resolution failed|could not connect|"
@@ -61,19 +61,20 @@ def classify_failures(df: DataFrame, message_col: str = "message") -> DataFrame:
 
 def route_failures(classified: DataFrame, integration_col: str = "integration") -> DataFrame:
     """Category + integration + write effect -> handler and action (most specific rule wins).
-    The rule table is fixed size and broadcast."""
-    spark = classified.sparkSession
-    rules = spark.createDataFrame(ROUTES, "r_category string, r_integration string, r_writes string, "
-                                          "handler string, action string")
+    One conditional expression over the fixed rules: no join and no shuffle."""
     writes = F.when(F.col(integration_col).isin(*WRITING_INTEGRATIONS), "yes").otherwise("no")
     x = classified.withColumn("writes", writes)
-    j = x.join(F.broadcast(rules), (F.col("category") == F.col("r_category"))
-               & ((F.col("r_integration") == "*") | (F.col("r_integration") == F.col(integration_col)))
-               & ((F.col("r_writes") == "*") | (F.col("r_writes") == F.col("writes"))), "left")
-    spec = (F.when(F.col("r_integration") != "*", 2).otherwise(0) + F.when(F.col("r_writes") != "*", 1).otherwise(0))
-    keys = [c for c in x.columns]
-    best = j.groupBy(*keys).agg(F.max_by(F.struct("handler", "action"), spec).alias("r"))
-    return best.select(*keys, F.col("r.handler").alias("handler"), F.col("r.action").alias("action"))
+    # Most specific rule first; rows stay as they are, repeated ones too.
+    chosen = None
+    for category, integration, needs, handler, action in sorted(ROUTES, key=lambda r: (r[1] == "*", r[2] == "*")):
+        applies = F.col("category") == category
+        if integration != "*":
+            applies &= F.col(integration_col) == integration
+        if needs != "*":
+            applies &= F.col("writes") == needs
+        route = F.struct(F.lit(handler).alias("handler"), F.lit(action).alias("action"))
+        chosen = F.when(applies, route) if chosen is None else chosen.when(applies, route)
+    return x.withColumn("__r", chosen).select(*x.columns, "__r.handler", "__r.action")
 
 
 def first_failure(tasks: DataFrame, run_col="pipeline_run_id", ts_col="started_at", id_col="task_run_id",
@@ -197,35 +198,14 @@ def skip_rate(tasks: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 def inventory_counts(inv: DataFrame) -> DataFrame:
     """Counts by storage provider, by paused flag and by cadence in one grouping-sets pass."""
-    inv.createOrReplaceTempView("__tw_inventory")
-    return inv.sparkSession.sql(
-        "select provider, paused, cadence, count(*) as n from __tw_inventory "
-        "group by grouping sets ((provider), (paused), (cadence))")
-
-
-def chain_depth(edges: DataFrame, min_depth: int = 2, max_rounds: int = 64) -> DataFrame:
-    """Nodes triggered through a chain longer than one level: longest path from any root.
-
-    Longest-path relaxation on a DAG: every round sets each child's depth to
-    1 + the deepest parent; it stops when no depth changes (rounds are bounded
-    by the longest chain). Each round is one join + group and is checkpointed.
-    """
-    e = edges.select("parent", "child").distinct()
-    nodes = e.select(F.col("parent").alias("node")).union(e.select(F.col("child").alias("node"))).distinct()
-    depth = nodes.withColumn("depth", F.lit(0)).checkpoint(eager=True)
-    for _ in range(max_rounds):
-        cand = (e.join(depth.withColumnRenamed("node", "parent"), "parent")
-                .groupBy(F.col("child").alias("node")).agg((F.max("depth") + 1).alias("cand")))
-        nxt = (depth.join(cand, "node", "left")
-               .select("node", F.greatest("depth", F.coalesce("cand", F.lit(0))).alias("depth")))
-        nxt = nxt.checkpoint(eager=True)
-        changed = nxt.join(depth.withColumnRenamed("depth", "old"), "node").where(F.col("depth") != F.col("old"))
-        depth = nxt
-        if changed.isEmpty():
-            break
-    else:
-        raise RuntimeError("chain longer than max_rounds (cycle?)")
-    return depth.where(F.col("depth") >= min_depth)
+    columns = [F.col(c) for c in ("provider", "paused", "cadence")]
+    return inv.groupingSets([[c] for c in columns], *columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def chain_depth(edges: DataFrame, min_depth: int = 2) -> DataFrame:
+    """Nodes triggered through a chain longer than one level: longest path from any root. Nodes on
+    or behind a cycle have no longest path; they are reported with a null depth."""
+    return layers(edges).where(F.col("depth").isNull() | (F.col("depth") >= min_depth))
 
 
 def test_failures(results: DataFrame, ts_col: str) -> DataFrame:
@@ -236,28 +216,27 @@ def test_failures(results: DataFrame, ts_col: str) -> DataFrame:
                                                                F.max(ts_col).alias("last_failed_at"))
 
 
-def upstream_walk(edges: DataFrame, symptoms: DataFrame, anomalies: DataFrame, max_depth: int = 64) -> DataFrame:
+def upstream_walk(edges: DataFrame, symptoms: DataFrame, anomalies: DataFrame) -> DataFrame:
     """From each symptom node walk upstream one layer at a time; stop at the first layer
-    that holds an anomaly and report those anomalous ancestors with their depth."""
-    rev = edges.select(F.col("child").alias("node"), F.col("parent").alias("up"))
-    anom = anomalies.select(F.col("node").alias("up")).distinct().withColumn("anomalous", F.lit(True))
-    frontier = symptoms.select("symptom", F.col("symptom").alias("node")).distinct()
-    found = None
-    for depth in range(1, max_depth + 1):
-        step = (frontier.join(rev, "node").select("symptom", "up").distinct()
-                .join(anom, "up", "left").withColumn("depth", F.lit(depth)))
-        step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        hit = step.where(F.col("anomalous")).select("symptom", F.col("up").alias("anomaly_node"), "depth")
-        found = hit if found is None else found.unionByName(hit)
+    that holds an anomaly and report those anomalous ancestors with their depth. A symptom's walk
+    also ends when no new node is left, so cycles end and chains may be of any length."""
+    rev = edges.select(F.col("child").alias("node"), F.col("parent").alias("up")).distinct().checkpoint(eager=True)
+    anom = anomalies.select(F.col("node").alias("up")).distinct().withColumn("anomalous", F.lit(True)).checkpoint(eager=True)
+    frontier = symptoms.select("symptom", F.col("symptom").alias("node")).distinct().checkpoint(eager=True)
+    seen, depth = Known(frontier), 0
+    found = Known(frontier.where(F.lit(False)).select("symptom", F.col("node").alias("anomaly_node"), F.lit(0).alias("depth")))
+    while not frontier.isEmpty():
+        depth += 1
+        step = (frontier.join(rev, "node").select("symptom", F.col("up").alias("node")).distinct()
+                .join(seen.rows, ["symptom", "node"], "left_anti")
+                .join(anom.withColumnRenamed("up", "node"), "node", "left").checkpoint(eager=True))
+        hit = step.where(F.col("anomalous")).select("symptom", F.col("node").alias("anomaly_node"), F.lit(depth).alias("depth"))
+        found.add(hit)
         done = hit.select("symptom").distinct()
         frontier = (step.where(F.col("anomalous").isNull()).join(done, "symptom", "left_anti")
-                    .select("symptom", F.col("up").alias("node")).distinct())
-    if found is None:
-        spark = edges.sparkSession
-        return spark.createDataFrame([], "symptom bigint, anomaly_node bigint, depth int")
-    return found
+                    .select("symptom", "node").checkpoint(eager=True))
+        seen.add(frontier)
+    return found.rows
 
 
 # Secret-shaped key names and token shapes.
@@ -278,7 +257,3 @@ def plain_secrets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         shaped = part if shaped is None else shaped.unionByName(part)
     allhits = assigned.unionByName(shaped)
     return allhits.groupBy(id_col, "secret_name").agg(F.count(F.lit(1)).alias("occurrences"))
-
-
-def message_col(df: DataFrame) -> Column:
-    return F.col("message")

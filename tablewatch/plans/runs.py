@@ -71,14 +71,12 @@ def _latest(spark, d):
 
 
 @query("feature_branch_runs", """
-select * from (
+with g as (
   select pipeline_id, count_if(status = 'FAILED' and branch <> 'main') as branch_failures,
     count_if(status = 'FAILED' and branch = 'main') as main_failures, count_if(branch = 'main') as main_tasks
   from task_runs group by 1)
 select *, main_failures = 0 and main_tasks > 0 as main_green, main_failures = 0 as feature_only
-where branch_failures > 0""".replace("select * from (", "with g as (").replace(
-    "  from task_runs group by 1)\nselect *", "  from task_runs group by 1)\nselect *").replace(
-    "as feature_only\nwhere", "as feature_only from g\nwhere"))
+from g where branch_failures > 0""")
 def _feature(spark, d):
     return r.feature_branch_runs(_tasks(spark, d))
 
