@@ -3,8 +3,8 @@
 Every check returns the same 11 finding columns. Money is kept in decimals
 (quantity x list price) so sums are exact and rounding is half-up in every
 engine; savings are reported as doubles at the end. The price list is a
-dimension of a few SKUs, reduced to one row per SKU before the broadcast
-join, so its size is bounded by the SKU catalogue.
+dimension of a few SKUs, reduced to one row per SKU; the planner picks the join
+from its size.
 """
 
 from __future__ import annotations
@@ -37,15 +37,15 @@ class CostConfig:
     wh_idle_saving: float = 0.50
     big_bytes: int = 50 * 1024 ** 3
     unused_days: int = 90
-    unused_limit: int = 200
-    top_queries: int = 50
 
 
 MONEY = "decimal(18,6)"
 
 
 def _since(col: str, as_of, days: int) -> Column:
-    return F.col(col) >= F.date_sub(date_lit(as_of), days).cast("timestamp_ntz")
+    """Within the ``days`` before ``as_of``; nothing at or after it, so an audit of a past day sees
+    what was known then."""
+    return (F.col(col) >= F.date_sub(date_lit(as_of), days).cast("timestamp_ntz")) & (F.col(col) < ts_lit(as_of))
 
 
 def _int_text(c: Column) -> Column:
@@ -79,7 +79,7 @@ def priced_usage(usage: DataFrame, list_prices: DataFrame, as_of, cfg: CostConfi
     """Usage in the lookback window with ``cost_usd = quantity * list price`` (0 when unpriced)."""
     prices = unit_prices(list_prices)
     u = usage.where(_since("usage_date", as_of, cfg.lookback))
-    return (u.join(F.broadcast(prices), "sku_name", "left")
+    return (u.join(prices, "sku_name", "left")
             .withColumn("cost_usd", F.col("usage_quantity").cast("decimal(18,2)")
                         * F.coalesce(F.col("unit_price"), F.lit(0)).cast("decimal(18,4)"))
             .drop("unit_price"))
@@ -161,11 +161,10 @@ def c05_repeat_queries(qh: DataFrame, as_of, cfg: CostConfig) -> DataFrame:
     g = (qh.where(_since("start_time", as_of, cfg.lookback) & (F.col("statement_type") == "SELECT")
                   & (F.col("execution_status") == "FINISHED"))
          .groupBy("workspace_id", query_shape().alias("q_hash"))
-         .agg(F.min(F.substring("statement_text", 1, 100)).alias("q_sample"), F.count(F.lit(1)).alias("runs"),
+         .agg(F.min("statement_text").alias("q_sample"), F.count(F.lit(1)).alias("runs"),
               F.round((F.sum("total_duration_ms") / 1000).cast("decimal(38,6)"), 0).alias("total_sec"),
               F.round((F.sum("read_bytes") / 1e12).cast("decimal(38,6)"), 3).alias("read_tb"))
-         .where((F.col("runs") >= cfg.repeat_runs) & (F.col("total_sec") > 600))
-         .orderBy(F.col("total_sec").desc(), "q_hash").limit(cfg.top_queries))
+         .where((F.col("runs") >= cfg.repeat_runs) & (F.col("total_sec") > 600)))
     detail = F.concat(F.col("runs").cast("string"), F.lit(" runs, "), F.col("total_sec").cast("bigint").cast("string"),
                       F.lit("s total, "), F.col("read_tb").cast("decimal(18,3)").cast("string"),
                       F.lit(f" TB scanned over {cfg.lookback}d"))
@@ -178,11 +177,10 @@ def c06_full_scans(qh: DataFrame, as_of, cfg: CostConfig) -> DataFrame:
     g = (qh.where(_since("start_time", as_of, cfg.lookback) & (F.col("read_files") > 0)
                   & (F.col("read_bytes") > cfg.big_bytes))
          .groupBy("workspace_id", query_shape().alias("q_hash"))
-         .agg(F.min(F.substring("statement_text", 1, 100)).alias("q_sample"), F.count(F.lit(1)).alias("runs"),
+         .agg(F.min("statement_text").alias("q_sample"), F.count(F.lit(1)).alias("runs"),
               F.round((F.avg("read_bytes") / 1e9).cast("decimal(38,6)"), 1).alias("avg_gb"),
               F.sum("pruned_files").alias("files_pruned"))
-         .where(F.col("files_pruned") == 0)
-         .orderBy(F.col("avg_gb").desc(), "q_hash").limit(cfg.top_queries))
+         .where(F.col("files_pruned") == 0))
     detail = F.concat(F.col("runs").cast("string"), F.lit(" runs, avg "),
                       F.col("avg_gb").cast("decimal(18,1)").cast("string"),
                       F.lit(" GB/scan, 0 files pruned - partition or cluster the source"))
@@ -213,11 +211,10 @@ def c07_warehouse_rightsizing(pu: DataFrame, qh: DataFrame, as_of, cfg: CostConf
 
 def c08_unused_tables(tables: DataFrame, reads: DataFrame, as_of, cfg: CostConfig) -> DataFrame:
     """Managed tables with no read in ``unused_days``: an anti join on the distinct
-    read keys (instead of a null-aware ``NOT IN``), ordered by name, capped at the report size."""
+    read keys (instead of a null-aware ``NOT IN``). All of them: only a report cuts."""
     used = (reads.where(_since("read_at", as_of, cfg.unused_days) & F.col("table_id").isNotNull())
             .select("table_id").distinct())
-    unused = (tables.where(F.col("table_type") == "MANAGED").join(used, "table_id", "left_anti")
-              .orderBy("table_name", "table_id").limit(cfg.unused_limit))
+    unused = (tables.where(F.col("table_type") == "MANAGED").join(used, "table_id", "left_anti"))
     return unused.select(*finding(
         as_of, "C08_storage_sprawl", "Storage sprawl (tables not queried in 90d)", "low", "table",
         F.col("table_id"), F.col("table_name"), F.lit(None), F.lit(None),

@@ -168,6 +168,13 @@ def keyed_fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> Da
     return df.groupBy(*keys).agg(*aggs)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys where null equals null; the keys of the left side are kept."""
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(right, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def rec_row_diff(src: DataFrame, dst: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """Keys present on both sides whose aligned columns differ, one row per (key, column).
 
@@ -178,7 +185,7 @@ def rec_row_diff(src: DataFrame, dst: DataFrame, keys: list[str], columns: list[
     d = keyed_fingerprints(dst, keys, columns)
     s = s.select(*keys, *[F.col(c).alias("s" + c) for c in s.columns if c not in keys])
     d = d.select(*keys, *[F.col(c).alias("d" + c) for c in d.columns if c not in keys])
-    j = s.join(d, keys, "inner")
+    j = null_safe_join(s, d, keys, "inner")
     diffs = [F.when(~F.col("s__n").eqNullSafe(F.col("d__n")), F.lit("__rows"))]
     for i, c in enumerate(columns):
         diffs.append(F.when(~F.col(f"s__f{i}").eqNullSafe(F.col(f"d__f{i}")), F.lit(c)))
@@ -189,8 +196,8 @@ def rec_missing_rows(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFra
     """Keys only in src and only in dst (anti joins on distinct key projections), tagged."""
     sk = src.select(*keys).distinct()
     dk = dst.select(*keys).distinct()
-    return (sk.join(dk, keys, "left_anti").withColumn("side", F.lit("src_only"))
-            .unionByName(dk.join(sk, keys, "left_anti").withColumn("side", F.lit("dst_only"))))
+    return (null_safe_join(sk, dk, keys, "left_anti").withColumn("side", F.lit("src_only"))
+            .unionByName(null_safe_join(dk, sk, keys, "left_anti").withColumn("side", F.lit("dst_only"))))
 
 
 def rec_duplicate_keys(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
@@ -207,7 +214,7 @@ def rec_unique_key_diff(src: DataFrame, dst: DataFrame, keys: list[str], columns
     d = keyed_fingerprints(dst, keys, columns).where(F.col("__n") == 1)
     s = s.select(*keys, *[F.col(c).alias("s" + c) for c in s.columns if c not in keys])
     d = d.select(*keys, *[F.col(c).alias("d" + c) for c in d.columns if c not in keys])
-    j = s.join(d, keys, "inner")
+    j = null_safe_join(s, d, keys, "inner")
     diffs = [F.when(~F.col(f"s__f{i}").eqNullSafe(F.col(f"d__f{i}")), F.lit(c)) for i, c in enumerate(columns)]
     return j.select(*keys, F.explode(F.array_compact(F.array(*diffs))).alias("column_name"))
 
@@ -249,7 +256,8 @@ def rec_cursor_drift(src: DataFrame, dst: DataFrame, cursor: str, cached, table_
     Only rows with ``cursor > cached`` are read (a pushed range filter), both
     sides are aggregated, and the result carries the new cursor to cache:
     the smaller of the two sides' maxima, so nothing the slower side has not
-    yet received is skipped next time.
+    yet received is skipped next time. While either side has no new rows the
+    cached cursor stays, and maxima of which one is missing are a failure.
     """
     c = ts_lit(cached)
 
@@ -265,21 +273,28 @@ def rec_cursor_drift(src: DataFrame, dst: DataFrame, cursor: str, cached, table_
         F.lit(table_name).alias("table_name"), c.alias("cached_cursor"), "src_new_rows", "dst_new_rows",
         count_drift.alias("count_drift"), max_drift.alias("max_drift_s"),
         verdict(F.abs(count_drift), None, count_error).alias("count_verdict"),
-        verdict(F.coalesce(F.abs(max_drift), F.lit(0)), None, max_error).alias("max_verdict"),
-        F.coalesce(F.least("src_max", "dst_max"), c).alias("new_cursor"))
+        F.when(F.col("src_max").isNull() != F.col("dst_max").isNull(), "FAILED")
+        .otherwise(verdict(F.coalesce(F.abs(max_drift), F.lit(0)), None, max_error)).alias("max_verdict"),
+        F.when(F.col("src_max").isNull() | F.col("dst_max").isNull(), c)
+        .otherwise(F.least("src_max", "dst_max")).alias("new_cursor"))
+
+
+CURSOR_STATE = "table_name string, cursor timestamp_ntz"
 
 
 def save_cursor(result: DataFrame, path: str) -> None:
-    """Persist the new cursor per table (small state table, overwritten)."""
-    result.select("table_name", F.col("new_cursor").alias("cursor")).write.mode("overwrite").parquet(path)
+    """Persist the new cursors. Each table has a folder of its own, so other tables' cursors stay."""
+    (result.select("table_name", F.col("new_cursor").alias("cursor")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("table_name").parquet(path))
 
 
 def load_cursor(spark, path: str, table_name: str, seed):
-    """Cached cursor for a table, or ``seed`` on the first run (one-row read)."""
-    try:
-        rows = spark.read.parquet(path).where(F.col("table_name") == table_name).limit(1).collect()
-    except Exception:  # noqa: BLE001 - no state yet
-        rows = []
+    """Cached cursor for a table, or ``seed`` when none is stored (one-row read). Only a missing
+    state folder counts as "none stored"; any other read error is raised."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return seed
+    rows = spark.read.schema(CURSOR_STATE).parquet(path).where(F.col("table_name") == table_name).limit(1).collect()
     return str(rows[0]["cursor"]) if rows else seed
 
 

@@ -16,14 +16,18 @@ COLS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpri
 ALL_COLS = ["o_orderkey", *COLS]
 CURSOR_SEED = "2001-01-01 00:00:00"
 
-# DuckDB spellings of the canonical value strings (see functions.canonical).
+def canon(text: str) -> str:
+    """DuckDB spelling of a canonical value: its length and text, or a bare ~ (see functions.canonical)."""
+    return f"coalesce(length({text}) || ':' || {text}, '~')"
+
+
 CANON = {
-    "o_orderkey": "coalesce(cast(o_orderkey as varchar), '~')",
-    "o_custkey": "coalesce(cast(o_custkey as varchar), '~')",
-    "o_orderstatus": "coalesce(cast(o_orderstatus as varchar), '~')",
-    "o_totalprice": "coalesce(cast(cast(o_totalprice as decimal(18,2)) as varchar), '~')",
-    "o_orderdate": "coalesce(cast(epoch_us(o_orderdate) as varchar), '~')",
-    "o_orderpriority": "coalesce(cast(o_orderpriority as varchar), '~')",
+    "o_orderkey": canon("cast(o_orderkey as varchar)"),
+    "o_custkey": canon("cast(o_custkey as varchar)"),
+    "o_orderstatus": canon("o_orderstatus"),
+    "o_totalprice": canon("cast(cast(o_totalprice as decimal(38,6)) as varchar)"),
+    "o_orderdate": canon("cast(epoch_us(o_orderdate) as varchar)"),
+    "o_orderpriority": canon("o_orderpriority"),
 }
 
 
@@ -79,7 +83,7 @@ def _true_count(spark, d):
 
 
 def _checksum_sql(cols):
-    row = "concat_ws('|', " + ", ".join(CANON[c] for c in cols) + ")"
+    row = " || ".join(CANON[c] for c in cols)
     side = (lambda tb: f"(select count(*) as rows, count(distinct k) as distinct_rows, coalesce(bit_xor(k), 0) "
             f"as checksum from (select {k60(row)} as k from {tb}))")
     return f"""
@@ -98,7 +102,7 @@ def _row_checksum(spark, d):
 
 def _fingerprint_sql():
     cols = sorted(ALL_COLS)
-    row = "concat_ws('|', " + ", ".join(CANON[c] for c in cols) + ")"
+    row = " || ".join(CANON[c] for c in cols)
     side = (lambda tb: f"(select count(*) as rows, coalesce(bit_xor({k60(row)}), 0) as checksum from {tb})")
     return f"""
 select s.rows as src_rows, s.checksum as src_checksum, d.rows as dst_rows, d.checksum as dst_checksum,
@@ -192,12 +196,15 @@ def _unique_diff(spark, d):
     return r.rec_unique_key_diff(*_sides(spark, d), KEY, COLS)
 
 
-@query("rec_normalised_diff", """
+TRIMMED = "nullif(trim(o_orderpriority), '')"
+
+
+@query("rec_normalised_diff", f"""
 with s as (select o_orderkey, count(*) as sn,
-             sum(('0x' || substr(md5(coalesce(nullif(trim(o_orderpriority), ''), '~')), 1, 15))::bigint::decimal(38,0)) as sf0
+             sum(('0x' || substr(md5({canon(TRIMMED)}), 1, 15))::bigint::decimal(38,0)) as sf0
            from orders group by 1),
 d as (select o_orderkey, count(*) as dn,
-             sum(('0x' || substr(md5(coalesce(nullif(trim(o_orderpriority), ''), '~')), 1, 15))::bigint::decimal(38,0)) as df0
+             sum(('0x' || substr(md5({canon(TRIMMED)}), 1, 15))::bigint::decimal(38,0)) as df0
            from orders_dirty group by 1),
 j as (select * from s join d using (o_orderkey))
 select o_orderkey, '__rows' as column_name from j where sn is distinct from dn
@@ -230,7 +237,7 @@ select 'orders' as table_name, timestamp '{CURSOR_SEED}' as cached_cursor, s.n a
   d.n - s.n as count_drift, cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s,
   case when abs(d.n - s.n) <> 0 then 'FAILED' else 'SUCCEEDED' end as count_verdict,
   case when coalesce(abs(floor(epoch(d.mx)) - floor(epoch(s.mx))), 0) > 60 then 'FAILED' else 'SUCCEEDED' end as max_verdict,
-  coalesce(least(s.mx, d.mx), timestamp '{CURSOR_SEED}') as new_cursor
+  case when s.mx is null or d.mx is null then timestamp '{CURSOR_SEED}' else least(s.mx, d.mx) end as new_cursor
 from s, d""")
 def _cursor_drift(spark, d):
     return r.rec_cursor_drift(*_sides(spark, d), "o_orderdate", CURSOR_SEED, "orders")
@@ -257,7 +264,7 @@ def _suite_pairs(spark, d):
 
 
 def _suite_checksum_sql(tb, cols):
-    row = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols) + ")"
+    row = " || ".join(canon(f"cast({c} as varchar)") for c in cols)
     return (f"select '{tb}' as table_name, 'checksum' as check_name, s.c as src_value, d.c as dst_value, "
             f"d.n - s.n as diff, case when s.n = d.n and s.dn = d.dn and s.c = d.c then 'SUCCEEDED' "
             f"else 'FAILED' end as verdict from "
