@@ -64,7 +64,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
             # A stretch ends where the anchor changes or the next window is of another row.
             cut = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1))))
             last = np.append(cut[1:], len(start)) - 1
-            parts.append((start[cut], start[last], at[cut] + lo, gram[at[cut]]))
+            # Anchors have the smallest hashes, so their keys are mixed anew before they are dealt by range.
+            parts.append((start[cut], start[last], at[cut] + lo, bt.mix(gram[at[cut]] + U(1))))
     if not parts:
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(U)
