@@ -20,16 +20,32 @@ def doc_valid(df: DataFrame, doc_col: str = "doc") -> Column:
 
 
 def parse_docs(df: DataFrame, schema: str, doc_col: str = "doc", out: str = "p") -> DataFrame:
-    """Valid documents only, with the parsed struct in ``out``."""
-    return df.where(doc_valid(df, doc_col)).withColumn(out, F.from_json(F.col(doc_col), schema))
+    """Every document with its parsed struct in ``out``: null if it is not valid, on which every
+    test answers false."""
+    return df.withColumn(out, F.when(doc_valid(df, doc_col), F.from_json(F.col(doc_col), schema)))
+
+
+def _at(doc_col: str, path: str) -> Column:
+    """The JSON value at a path, JSON null included; SQL null if there is none."""
+    return F.try_variant_get(F.try_parse_json(F.col(doc_col)), path, "variant")
 
 
 def path_equals(doc_col: str, path: str, value) -> Column:
-    return F.coalesce(F.get_json_object(F.col(doc_col), path) == F.lit(str(value)), F.lit(False))
+    """The value at the path has the kind of ``value`` (text, number or boolean) and equals it."""
+    v = _at(doc_col, path)
+    kind = F.schema_of_variant(v)
+    if isinstance(value, bool):
+        same = (kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == F.lit(value))
+    elif isinstance(value, (int, float)):
+        same = ~kind.isin("STRING", "BOOLEAN", "VOID") & (F.try_variant_get(v, "$", "double") == F.lit(float(value)))
+    else:
+        same = (kind == "STRING") & (F.try_variant_get(v, "$", "string") == F.lit(value))
+    return F.coalesce(same, F.lit(False))
 
 
 def path_present(doc_col: str, path: str) -> Column:
-    return F.get_json_object(F.col(doc_col), path).isNotNull()
+    """There is a value at the path; JSON null is one."""
+    return _at(doc_col, path).isNotNull()
 
 
 def regex_count(text_col: str, pattern: str) -> Column:
@@ -42,11 +58,12 @@ def min_children(arr: Column, n: int) -> Column:
 
 def children_missing(arr: Column, field: str) -> Column:
     """Children that lack ``field`` (null or absent)."""
-    return F.filter(arr, lambda x: x[field].isNull())
+    return F.coalesce(F.filter(arr, lambda x: x[field].isNull()), F.array())
 
 
 def all_children_have(arr: Column, field: str) -> Column:
-    return F.forall(arr, lambda x: x[field].isNotNull())
+    """Every child has the field; false when there are none."""
+    return F.coalesce((F.size(arr) > 0) & F.forall(arr, lambda x: x[field].isNotNull()), F.lit(False))
 
 
 def every_item(arr: Column, field: str, value) -> Column:
@@ -68,7 +85,7 @@ def edge_exists(arr: Column, id_field: str, links: str, child, parent) -> Column
 
 
 def item_in_enum(arr: Column, field: str, allowed: list) -> Column:
-    return F.forall(arr, lambda x: x[field].isNull() | x[field].isin(*allowed))
+    return F.coalesce(F.forall(arr, lambda x: x[field].isNull() | x[field].isin(*allowed)), F.lit(False))
 
 
 def conditional_required(arr: Column, kind_field: str, kind, required: str) -> Column:
@@ -78,13 +95,16 @@ def conditional_required(arr: Column, kind_field: str, kind, required: str) -> C
                       F.lit(False))
 
 
-def status_covered(arr: Column, field: str, status) -> Column:
-    return some_item(arr, field, status)
+def status_covered(arr: Column, field: str, statuses) -> Column:
+    """Every one of the statuses occurs among the items."""
+    wanted = statuses if isinstance(statuses, (list, tuple)) else [statuses]
+    found = F.transform(arr, lambda x: x[field])
+    return F.coalesce(F.forall(F.array(*[F.lit(s) for s in wanted]), lambda s: F.array_contains(found, s)), F.lit(False))
 
 
 def duplicate_ids(arr: Column, id_field: str) -> Column:
     ids = F.transform(arr, lambda x: x[id_field])
-    return F.size(ids) != F.size(F.array_distinct(ids))
+    return F.coalesce(F.size(ids) != F.size(F.array_distinct(ids)), F.lit(False))
 
 
 def json_string_empty(col: str, element_type: str = "array<string>") -> Column:
@@ -93,20 +113,19 @@ def json_string_empty(col: str, element_type: str = "array<string>") -> Column:
 
 
 def dangling_edges(parsed: DataFrame, id_col: str, arr: str, id_field: str, links: str) -> DataFrame:
-    """Links that name no child of the same document: explode, then anti join."""
-    items = parsed.select(id_col, F.explode(arr).alias("it"))
-    ids = items.select(id_col, F.col(f"it.{id_field}").alias("ref")).distinct()
-    refs = items.select(id_col, F.col(f"it.{id_field}").alias(id_field),
-                        F.explode(F.col(f"it.{links}")).alias("ref"))
-    return refs.join(ids, [id_col, "ref"], "left_anti")
+    """Links that name no child of the same document, compared inside the document: no join."""
+    ids = F.transform(F.col(arr), lambda x: x[id_field])
+    items = parsed.select(id_col, ids.alias("__ids"), F.explode(arr).alias("it"))
+    lost = F.filter(F.col(f"it.{links}"), lambda r: ~F.array_contains(F.col("__ids"), r))
+    return items.select(id_col, F.col(f"it.{id_field}").alias(id_field), F.explode(F.array_distinct(lost)).alias("ref"))
 
 
 def unreferenced_outputs(parsed: DataFrame, id_col: str, arr: str, id_field: str, links: str, flag: str) -> DataFrame:
-    """Items flagged to publish outputs that no other item of the document references."""
-    items = parsed.select(id_col, F.explode(arr).alias("it"))
-    pubs = items.where(F.col(f"it.{flag}")).select(id_col, F.col(f"it.{id_field}").alias(id_field)).distinct()
-    used = items.select(id_col, F.explode(F.col(f"it.{links}")).alias(id_field)).distinct()
-    return pubs.join(used, [id_col, id_field], "left_anti")
+    """Items flagged to publish outputs that no item of the document references: no join."""
+    used = F.flatten(F.transform(F.col(arr), lambda x: F.coalesce(x[links], F.array())))
+    items = parsed.select(id_col, used.alias("__used"), F.explode(arr).alias("it"))
+    lost = F.col(f"it.{flag}") & ~F.array_contains("__used", F.col(f"it.{id_field}"))
+    return items.where(lost).select(id_col, F.col(f"it.{id_field}").alias(id_field)).distinct()
 
 
 REFERENCE_PATTERN = r"^\$\{\{.*\}\}$"

@@ -220,9 +220,9 @@ def dq_outlier_sigma(df: DataFrame, col: str, k: float = 3.0, population: bool =
 
 
 def dq_freshness(df: DataFrame, col: str, as_of, lag_hours: int) -> DataFrame:
-    """One row (with ``max_ts``) when the newest value is older than ``as_of - lag``."""
+    """One row (with ``max_ts``) when the newest value is older than ``as_of - lag``, or there is none."""
     m = df.agg(F.max(col).alias("max_ts"))
-    return m.where(F.col("max_ts") < ts_lit(as_of) - F.expr(f"INTERVAL {int(lag_hours)} HOURS"))
+    return m.where(F.col("max_ts").isNull() | (F.col("max_ts") < ts_lit(as_of) - F.expr(f"INTERVAL {int(lag_hours)} HOURS")))
 
 
 def dq_hours_stale(df: DataFrame, col: str, as_of) -> DataFrame:
@@ -258,7 +258,7 @@ def dq_null_rate(df: DataFrame, col: str, tolerance_bp: int = 500) -> DataFrame:
     bp = F.when(F.col("rows") == 0, F.lit(None)).otherwise(
         F.floor((F.col("rows") - F.col("non_null")) * 10000 / F.col("rows")).cast("bigint"))
     return agg.select("rows", (F.col("rows") - F.col("non_null")).alias("nulls"), bp.alias("null_bp"),
-                      F.coalesce(bp > tolerance_bp, F.lit(False)).alias("over_tolerance"))
+                      ((F.col("rows") - F.col("non_null")) * 10000 > F.col("rows") * tolerance_bp).alias("over_tolerance"))
 
 
 def dq_cardinality(df: DataFrame, col: str, lo: int, hi: int, approx: bool = False) -> DataFrame:
@@ -268,8 +268,17 @@ def dq_cardinality(df: DataFrame, col: str, lo: int, hi: int, approx: bool = Fal
     return agg.where(~F.col("distinct_vals").between(lo, hi))
 
 
+def every_day(daily: DataFrame, value_col: str) -> DataFrame:
+    """A daily series with a row for every day from the first to the last; days without rows are 0.
+    One row per day: small whatever the table."""
+    dated = daily.where(F.col("day").isNotNull())
+    span = dated.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).where(F.col("lo").isNotNull())
+    days = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    return days.join(dated, "day", "left").withColumn(value_col, F.coalesce(F.col(value_col), F.lit(0)))
+
+
 def daily_counts(df: DataFrame, ts_col: str) -> DataFrame:
-    return df.groupBy(F.to_date(ts_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return every_day(df.groupBy(F.to_date(ts_col).alias("day")).agg(F.count(F.lit(1)).alias("n")), "n")
 
 
 def dq_volume_drop(df: DataFrame, ts_col: str, tolerance_pct: int = 20, history_days: int = 7) -> DataFrame:
@@ -290,7 +299,7 @@ def dq_anomaly(df: DataFrame, ts_col: str, window_days: int = 14, z: float = 3.0
                value_col: str | None = None) -> DataFrame:
     """Trailing z-score anomaly on a daily metric (row count, or sum of ``value_col``)."""
     metric = F.count(F.lit(1)) if value_col is None else F.sum(value_col)
-    d = df.groupBy(F.to_date(ts_col).alias("day")).agg(metric.cast("double").alias("metric"))
+    d = every_day(df.groupBy(F.to_date(ts_col).alias("day")).agg(metric.cast("double").alias("metric")), "metric")
     w = Window.orderBy("day").rowsBetween(-window_days, -1)
     s = (d.withColumn("mu", F.avg("metric").over(w))
          .withColumn("sd", F.stddev_samp("metric").over(w))

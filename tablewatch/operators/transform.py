@@ -96,14 +96,18 @@ def scenario_cross(df: DataFrame, a_name: str, a_values: list, b_name: str, b_va
                                                                F.coalesce("n", F.lit(0)).alias("n"))
 
 
-# Widening lattice: from type -> types it may widen to.
+# Widening lattice: from type -> types that hold all its values (a double does not hold all bigints).
 _WIDEN = {
-    "tinyint": {"smallint", "int", "bigint", "double"}, "smallint": {"int", "bigint", "double"},
-    "int": {"bigint", "double"}, "bigint": {"double"}, "float": {"double"},
+    "tinyint": {"smallint", "int", "bigint", "float", "double"}, "smallint": {"int", "bigint", "float", "double"},
+    "int": {"bigint", "double"}, "float": {"double"},
     "date": {"timestamp", "timestamp_ntz"},
 }
 
 
+# Digits of the integer types: a decimal with as many before its point holds all their values.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
 def _relation(old: str, new: str) -> str:
     if old == new:
         return "same"
@@ -112,8 +116,9 @@ def _relation(old: str, new: str) -> str:
     if old.startswith("decimal") and new.startswith("decimal"):
         (p1, s1), (p2, s2) = [tuple(int(x) for x in t[8:-1].split(",")) for t in (old, new)]
         return "widened" if s2 >= s1 and p2 - s2 >= p1 - s1 else "narrowed"
-    if old in _WIDEN and new.startswith("decimal"):
-        return "narrowed"
+    if old in _DIGITS and new.startswith("decimal"):
+        precision, scale = (int(x) for x in new[8:-1].split(","))
+        return "widened" if precision - scale >= _DIGITS[old] else "narrowed"
     if new in _WIDEN.get(old, set()) or old in _WIDEN.get(new, set()):
         return "narrowed"
     return "changed"
@@ -173,11 +178,18 @@ def landed_check(df: DataFrame, expected: list[str]) -> DataFrame:
                     ((F.col("has_rows") > 0) & F.lit(not missing)).alias("ok"))
 
 
-def coalesce_variants(df: DataFrame, base: str, order=("double", "bigint", "text"), out_type: str = "double") -> DataFrame:
-    """Rebuild one logical value from ``<base>__v_<type>`` columns (first non-null wins)."""
-    parts = [F.col(f"{base}__v_{t}").cast(out_type) for t in order if f"{base}__v_{t}" in df.columns]
-    variants = [c for c in df.columns if c.startswith(f"{base}__v_")]
-    return df.withColumn(base, F.coalesce(*parts)).drop(*variants)
-
-
-NUMERIC_SQL_TYPES = (T.DoubleType, T.LongType, T.IntegerType)
+def coalesce_variants(df: DataFrame, base: str, order: tuple = (), out_type: str = "string") -> DataFrame:
+    """Rebuild one logical value from a column and its ``<base>__v_<type>`` variants.
+
+    The base column comes first, then the variants in ``order``, then all others as they stand; the
+    first that is not null wins. The result is text, which holds every variant; for another
+    ``out_type`` the first value that can be read as that type wins, and none raises."""
+    prefix = f"{base}__v_"
+    variants = [c for c in df.columns if c.startswith(prefix)]
+    first = [f"{prefix}{t}" for t in order if f"{prefix}{t}" in variants]
+    texts = [F.col(f"`{c}`").cast("string") for c in
+             [base] * (base in df.columns) + first + [c for c in variants if c not in first]]
+    if out_type != "string":
+        texts = [c.try_cast(out_type) for c in texts]
+    value = F.coalesce(*texts) if texts else F.lit(None).cast(out_type)
+    return df.withColumn(base, value).drop(*variants)

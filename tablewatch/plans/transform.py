@@ -135,17 +135,19 @@ def _landed(spark, d):
 
 
 @query("coalesce_variants", """
-select o_orderkey, coalesce(case when o_orderkey % 3 = 0 then o_totalprice end,
-                            cast(case when o_orderkey % 3 = 1 then cast(o_orderkey as bigint) end as double),
-                            cast(case when o_orderkey % 3 = 2 then cast(o_totalprice as varchar) end as double))
-  as price from orders""")
+select o_orderkey, case o_orderkey % 6 when 0 then cast(cast(o_totalprice as decimal(18,2)) as varchar)
+    when 1 then cast(o_orderkey as varchar) when 2 then 'abc' when 3 then cast(o_orderkey % 4 = 3 as varchar)
+    when 4 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as price
+from orders""")
 def _variants(spark, d):
     o = t(spark, d, "orders")
-    k = F.col("o_orderkey")
+    k = F.col("o_orderkey") % 6
     v = o.select("o_orderkey",
-                 F.when(k % 3 == 0, F.col("o_totalprice")).alias("price__v_double"),
-                 F.when(k % 3 == 1, k).alias("price__v_bigint"),
-                 F.when(k % 3 == 2, F.col("o_totalprice").cast("string")).alias("price__v_text"))
-    return tf.coalesce_variants(v, "price")
+                 F.when(k == 0, F.col("o_totalprice").cast("decimal(18,2)")).alias("price"),
+                 F.when(k <= 1, F.col("o_orderkey")).alias("price__v_bigint"),
+                 F.when(k == 2, F.lit("abc")).alias("price__v_text"),
+                 F.when(k == 3, F.col("o_orderkey") % 4 == 3).alias("price__v_bool"),
+                 F.when(k == 4, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")).alias("price__v_timestamp"))
+    return tf.coalesce_variants(v, "price", ("text", "bigint"))
 
 

@@ -45,16 +45,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and state tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, durable folder and is
-    used as given. Only when it is unset (local runs and tests) a fresh scratch
-    folder is created and recorded in the session.
+    ``spark.checkpoint.dir`` names it, or a folder already set with ``setCheckpointDir``. Only in
+    local mode, as in tests, a fresh scratch folder is made when neither is set; a cluster's
+    executors do not share the driver's folders, so there a missing setting is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not current:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(current)
     return current
 
 

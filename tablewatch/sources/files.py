@@ -42,13 +42,7 @@ def insert_select(df: DataFrame, path: str, where=None) -> None:
 
 def replace_day(df: DataFrame, path: str, day_col: str = "run_date") -> None:
     """Idempotent per-day write: only the partitions present in ``df`` are replaced."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(day_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
 
 
 def rebuild_partition(source: DataFrame, path: str, day_col: str, day) -> None:

@@ -29,13 +29,8 @@ def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: in
 def _append_batch(sink: str):
     """foreachBatch writer: replace this batch id's partition (idempotent on retry)."""
     def write(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(sink)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
     return write
 
 

@@ -1,0 +1,103 @@
+"""Cases behind repaired answers: reconciliation, variants, schema evolution, nested documents, daily series."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewatch.operators import nested, quality, reconcile, similarity, transform
+
+
+def fingerprints(spark, left, right, schema):
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    return reconcile.rec_row_checksum(a, b).first()["verdict"]
+
+
+def test_canonical_strings_are_unambiguous(spark):
+    assert fingerprints(spark, [("a|b", "c")], [("a", "b|c")], "x string, y string") == "FAILED"
+    assert fingerprints(spark, [(None, "c")], [("~", "c")], "x string, y string") == "FAILED"
+    assert fingerprints(spark, [(0.001,)], [(0.004,)], "x double") == "FAILED"
+    assert fingerprints(spark, [(1e17,), (float("nan"),)], [(1e17,), (float("nan"),)], "x double") == "SUCCEEDED"
+    a = spark.createDataFrame([(1, "u")], "k long, v string")
+    assert reconcile.rec_row_checksum(a, a.select("v", "k")).first()["verdict"] == "SUCCEEDED"
+
+
+def test_null_keys_match_each_other(spark):
+    a = spark.createDataFrame([(None, 1), (2, 1)], "k long, v int")
+    b = spark.createDataFrame([(None, 5), (2, 1)], "k long, v int")
+    assert reconcile.rec_missing_rows(a, b, ["k"]).collect() == []
+    assert [tuple(r) for r in reconcile.rec_row_diff(a, b, ["k"]).collect()] == [(None, "v")]
+
+
+def test_cursor_never_passes_undelivered_rows(spark, tmp_path):
+    state, seed = str(tmp_path / "cursors"), "2024-01-01 00:00:00"
+    day = lambda n: dt.datetime(2024, 1, n)
+
+    def rows(days):
+        return spark.createDataFrame([(day(n),) for n in days], "at timestamp_ntz")
+
+    def run(table, src, dst):
+        got = reconcile.rec_cursor_drift(rows(src), rows(dst), "at", reconcile.load_cursor(spark, state, table, seed), table)
+        reconcile.save_cursor(got, state)
+        return got.first()
+
+    first = run("a", [2, 3], [])  # the destination is late
+    assert (first["new_cursor"], first["max_verdict"]) == (day(1), "FAILED")
+    run("b", [2], [2])
+    second = run("a", [2, 3, 4], [2])
+    assert (second["src_new_rows"], second["new_cursor"]) == (3, day(2))
+    third = run("a", [2, 3, 4], [2, 3, 4])
+    assert (third["src_new_rows"], third["dst_new_rows"], third["new_cursor"]) == (2, 2, day(4))
+    assert reconcile.load_cursor(spark, state, "b", seed) == "2024-01-02 00:00:00"
+    assert reconcile.load_cursor(spark, state, "c", seed) == seed
+
+
+def test_variants_keep_base_and_every_type(spark):
+    df = spark.createDataFrame([(1.5, None, None), (None, True, None), (None, None, "abc"), (None, None, None)],
+                               "v double, v__v_bool boolean, v__v_text string")
+    assert [r["v"] for r in transform.coalesce_variants(df, "v").collect()] == ["1.5", "true", "abc", None]
+    assert [r["v"] for r in transform.coalesce_variants(df, "v", out_type="double").collect()] == [1.5, None, None, None]
+
+
+def test_schema_evolution_loses_nothing(spark):
+    big = spark.createDataFrame([(9007199254740993,)], "x long")
+    with pytest.raises(ValueError):
+        transform.evolve_schema(big, spark.createDataFrame([(1.0,)], "x double"))
+    small = spark.createDataFrame([(7,)], "x int")
+    wide = transform.evolve_schema(small, big.select(F.col("x").cast("decimal(20,0)").alias("x")))
+    assert [int(r["x"]) for r in wide.collect()] == [7, 9007199254740993]
+    state = transform.schema_compat(small, wide).first()
+    assert (state["state"], state["additive"]) == ("widened", True)
+
+
+def test_nested_answers(spark):
+    docs = ['{"a": true, "n": 1.0, "z": null, "items": []}', '{"a": "true", "n": 1, "items": [{"s": "x"}, {"s": "y"}]}', "[1]", "{"]
+    df = nested.parse_docs(spark.createDataFrame(list(enumerate(docs)), "id int, doc string"), "items array<struct<s: string>>")
+    items = F.col("p.items")
+    out = df.orderBy("id").select(
+        nested.path_equals("doc", "$.a", True).alias("yes"), nested.path_equals("doc", "$.n", 1).alias("one"),
+        nested.path_present("doc", "$.z").alias("null"), nested.all_children_have(items, "s").alias("all"),
+        nested.status_covered(items, "s", ["x", "y"]).alias("both"), nested.item_in_enum(items, "s", ["x", "y"]).alias("enum")).collect()
+    assert [tuple(r) for r in out] == [(True, True, True, False, False, True), (False, True, False, True, True, True),
+                                       (False,) * 6, (False,) * 6]
+
+
+def test_days_without_rows_are_zero(spark):
+    days = [dt.datetime(2024, 1, d, h) for d in range(1, 12) if d != 9 for h in range(5)]
+    df = spark.createDataFrame([(d,) for d in days], "ts timestamp_ntz")
+    assert [(str(r["day"]), r["n"]) for r in quality.dq_volume_drop(df, "ts").collect()] == [("2024-01-09", 0)]
+    nothing = df.where("ts is null")
+    assert quality.dq_volume_drop(nothing, "ts").collect() == []
+    assert len(quality.dq_freshness(nothing, "ts", "2024-01-02 00:00:00", 1).collect()) == 1
+
+
+def test_null_rate_compares_whole_numbers(spark):
+    df = spark.range(100000).select(F.when(F.col("id") >= 5009, 1).alias("x"))
+    assert quality.dq_null_rate(df, "x", 500).first()["over_tolerance"]
+
+
+def test_bands_use_whole_numbers_and_env_names_do_not_pair(spark):
+    pair = spark.createDataFrame([(1, 2, 84996, 1, 1, 0.85)], "a long, b long, matched long, only_a long, only_b long, jaccard double")
+    assert similarity.jaccard_bands(pair).first()["band"] == "strong"
+    names = spark.createDataFrame([("prod",), ("dev",), ("load sandbox",), ("load",)], "name string")
+    assert [(r["name_a"], r["name_b"]) for r in similarity.name_pairs(names, "name").collect()] == [("load", "load sandbox")]
