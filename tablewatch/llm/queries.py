@@ -40,6 +40,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: A-Z lower-cased, nothing else.
+FOLDED_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def vocabulary() -> str:
     import public_tokenizers
     return str(public_tokenizers.path(VOCABULARY))
@@ -49,9 +53,16 @@ def sha256_of(text: str):
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-@query("op1_embedding_near_dedup")
+@query("op1_embedding_near_dedup", r"""
+with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+links as (select a.vec_id as u, b.vec_id as w from v a join v b on a.vec_id <> b.vec_id
+          where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, other) as (select vec_id, vec_id from v union select r.vec_id, l.w from reach r join links l on l.u = r.other)
+select vec_id, cast((select count(*) from links where u = c.vec_id) as bigint) as n_links, component_id, vec_id = component_id as kept
+from (select vec_id, min(other) as component_id from reach group by vec_id) c
+""")
 def op1(spark, sf_dir):
-    return near_duplicate_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+    return near_duplicate_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9).drop("audited_recall")
 
 
 @query("op2_quality_classifier")
@@ -90,7 +101,24 @@ def op5(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"), vocabulary(), limit=512)
 
 
-@query("op6_benchmark_decontamination")
+@query("op6_benchmark_decontamination", rf"""
+with iw as (select item_id, regexp_extract_all({FOLDED_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+dw as (select doc_id, regexp_extract_all({FOLDED_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+iwin as (select distinct item_id, size, array_to_string(ws[i:i + size - 1], ' ') as win
+         from (select item_id, ws, size, unnest(range(1, len(ws) - size + 2)) as i
+               from (select *, least(10, len(ws)) as size from iw where len(ws) > 0))),
+dwin as (select doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') as win
+         from (select doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) as i
+               from dw join (select distinct size from iwin) on len(ws) >= size)),
+hits as (select doc_id, i, d.size, item_id from dwin d join iwin w on d.size = w.size and d.win = w.win),
+words as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + size)) as j from hits) group by 1),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as names
+          from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by 1)
+select dw.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(words.n, 0) as bigint) as n_hit,
+       cast(coalesce(items.n, 0) as bigint) as n_items, sha256(coalesce(items.names, '')) as items_sha256,
+       coalesce(words.n, 0) > 0 as contaminated
+from dw left join words using (doc_id) left join items using (doc_id)
+""")
 def op6(spark, sf_dir):
     out = find_benchmark(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -98,7 +126,18 @@ def op6(spark, sf_dir):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@query("op7_minhash_near_dedup")
+@query("op7_minhash_near_dedup", rf"""
+with recursive w as (select doc_id, regexp_extract_all({FOLDED_SQL}, '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, array_to_string(ws[i:i + 3], ' ') as shingle
+      from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) as i from w where len(ws) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+common as (select a.doc_id as u, b.doc_id as v, count(*) as c
+           from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+links as (select u, v from common join n x on x.doc_id = u join n y on y.doc_id = v where 100 * c >= 80 * (x.n + y.n - c)),
+reach(doc_id, other) as (select doc_id, doc_id from w union select r.doc_id, l.v from reach r join links l on l.u = r.other)
+select r.doc_id, cast(coalesce(max(n.n), 0) as bigint) as n_shingles, min(other) as component_id, r.doc_id = min(other) as kept
+from reach r left join n on n.doc_id = r.doc_id group by r.doc_id
+""")
 def op7(spark, sf_dir):
     out = near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=80)
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
