@@ -24,6 +24,7 @@ HEADLINE = [
     "c01_all_purpose_jobs", "c05_repeat_queries", "c09_job_failures", "findings_summary",
     "build_propagate", "overlapping_runs", "classify_failures", "dedupe_by_key", "lookback_rollup",
     "name_pairs", "jaccard_pairs", "doc_valid", "dangling_edges", "health_score",
+    "profile_numeric", "pair_delta", "dup_sets", "chain_depth", "upstream_walk", "stream_incremental_count",
 ]
 
 
