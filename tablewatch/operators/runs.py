@@ -239,21 +239,20 @@ def upstream_walk(edges: DataFrame, symptoms: DataFrame, anomalies: DataFrame) -
     return found.rows
 
 
-# Secret-shaped key names and token shapes.
-SECRET_ASSIGN = r"(?i)(?:^|[^a-z0-9_])([a-z0-9_]*(?:key|token|password|secret))\s*[:=]\s*[\"']?[A-Za-z0-9/+_\-]{8,}"
+# Secret-shaped key names and token shapes. A name is one of the four words, alone or
+# after a word that ends in an underscore or is itself a usual prefix ("monkey" is none); JSON keys
+# have a quote before the colon.
+SECRET_ASSIGN = (r"(?i)(?:^|[^a-z0-9_])((?:[a-z0-9_]*_|api|access|auth|private|secret|db)?(?:key|token|password|secret))"
+                 r"[\"']?\s*[:=]\s*[\"']?[A-Za-z0-9/+_\-]{8,}")
 SECRET_SHAPES = [("aws_access_key", r"AKIA[0-9A-Z]{16}"), ("github_token", r"ghp_[A-Za-z0-9]{36}"),
                  ("private_key_block", r"-----BEGIN [A-Z ]*PRIVATE KEY-----")]
 
 
 def plain_secrets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Locations and names of literal secrets; the value never leaves the plan."""
-    names = F.regexp_extract_all(F.col(text_col), F.lit(SECRET_ASSIGN), 1)
-    assigned = (df.select(id_col, F.explode(names).alias("secret_name"))
-                .select(id_col, F.lower("secret_name").alias("secret_name")))
-    shaped = None
-    for name, pattern in SECRET_SHAPES:
-        part = df.select(id_col, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({pattern})"), 1))
-                         .alias("__v")).select(id_col, F.lit(name).alias("secret_name"))
-        shaped = part if shaped is None else shaped.unionByName(part)
-    allhits = assigned.unionByName(shaped)
-    return allhits.groupBy(id_col, "secret_name").agg(F.count(F.lit(1)).alias("occurrences"))
+    """Locations and names of literal secrets; the value never leaves the plan. One read of the
+    text: a row's names are gathered in one array."""
+    text = F.col(text_col)
+    names = F.transform(F.regexp_extract_all(text, F.lit(SECRET_ASSIGN), 1), F.lower)
+    shaped = [F.array_repeat(F.lit(name), F.regexp_count(text, F.lit(pattern))) for name, pattern in SECRET_SHAPES]
+    found = df.select(id_col, F.explode(F.concat(names, *shaped)).alias("secret_name"))
+    return found.groupBy(id_col, "secret_name").agg(F.count(F.lit(1)).alias("occurrences"))
