@@ -8,8 +8,9 @@ of the text, train a linear scorer over hashed word shapes: how words begin and
 and whether a word repeats the one before. The scorer then judges every whole text, so documents on
 which the heuristics are silent are judged by what the others taught.
 
-Defined results: a null or empty text has no words, gets no votes and scores the scorer's bias alone;
-such texts are kept. Rows are scored one by one, so repeated rows each get their row; an empty table
+Texts of fewer than ``FEW_WORDS`` words show too little: they get no votes and are never rejected.
+
+Defined results: a null or empty text has no words and scores the scorer's bias alone; it is kept. Rows are scored one by one, so repeated rows each get their row; an empty table
 gives an empty table."""
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SAMPLE = 20_000
 SHAPE_BITS = 12
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 ROUNDS = 100
-FEW_WORDS = 8       # shorter texts get no votes
+FEW_WORDS = 8       # shorter texts get no votes and are kept
 START = ((0.40, 0.60), (0.05, 0.95))  # shares of bad and good votes on bad, and on good documents
 
 # Fixed values: (name, bad from, good up to, whether small values are the bad ones).
@@ -233,7 +234,7 @@ def classify(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: st
             p = s.scores(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(s.posterior[_pattern(texts.votes())], pa.float64()), pa.array(p, pa.float64()),
-                 pa.array((p >= threshold) | (texts.count == 0))], names=["doc_id", "posterior", "score", "kept"])
+                 pa.array((p >= threshold) | (texts.count < FEW_WORDS))], names=["doc_id", "posterior", "score", "kept"])
 
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return docs.mapInArrow(work, "doc_id long, posterior double, score double, kept boolean")
@@ -247,6 +248,6 @@ def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", threshold:
     def work(batches):
         for batch in batches:
             texts = _Texts(batch.column(place))
-            yield batch.filter(pa.array((shared.value.scores(texts) >= threshold) | (texts.count == 0)))
+            yield batch.filter(pa.array((shared.value.scores(texts) >= threshold) | (texts.count < FEW_WORDS)))
 
     return df.mapInArrow(work, df.schema)
