@@ -178,7 +178,7 @@ def learn(df: DataFrame, text_col: str = "text") -> Scorer:
     posterior, _ = accuracies(count)
     # A text is in the sample by its own hash; copies are in it together.
     part = min(1.0, SAMPLE / max(1, sum(count.values())))
-    chosen = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(part * (1 << 20)))
+    chosen = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 50)) < int(part * (1 << 50)))
 
     def features(batches):
         for batch in batches:
