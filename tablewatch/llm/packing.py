@@ -29,7 +29,7 @@ from tablewatch.llm.common import corpus, prepare, stored
 
 STEPS = 6_000        # fillings applied before the best packing so far is taken
 BRANCHES = 4         # fillings tried at a branching
-BUCKET_PIECES = 20_000
+BUCKET_PIECES = 2_000
 
 
 # -- the packing of a histogram ------------------------------------------------------------
