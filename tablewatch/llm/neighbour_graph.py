@@ -3,22 +3,25 @@
 The search works on directions rounded to one byte per component; every link is confirmed in double
 precision on the given values.
 
+0. *Copies.* Vectors of one direction become one representative with a weight.
 1. *Start.* Vectors are sorted several times by the signs of random projections; neighbours in a
    sorted order are the first neighbour lists.
 2. *Descent.* Each vector gathers its neighbours and some of the vectors that list it, compares all
    of these with one another and sends every one its best new neighbours: a
    neighbours-of-neighbours join. Lists keep the ``k`` most similar.
-3. *Audit.* A bounded set of vectors, by a hash of their ids, is compared with all vectors. While the
-   lists hold less than ``TARGET`` of the links found so, ``k`` doubles and the descent goes on.
-4. *Threshold edges* are confirmed, and components formed. A list that is full of such edges is
-   saturated: it cannot hold all links of its vector. So every list grows to its whole linked
-   neighbourhood, the component, which is compared block by block; a component that a third of all
-   vectors belong to is spread over many block pairs, and only link counts leave a task.
+3. *Threshold edges* are confirmed, and components formed. A list that is full of such edges is
+   saturated: it cannot hold all links of its vector, and no descent over full lists finds the others.
+   So vectors with saturated lists are compared with all vectors outside their component, in blocks of
+   close vectors whose centre and radius rule most others out; components that link are joined.
+4. *Audit.* A bounded set of vectors, by a hash of their ids, is compared with all vectors. While less
+   than ``TARGET`` of the links found so are held, ``k`` doubles and the descent goes on.
+5. *Counts.* Every component is compared block by block; a component that a third of all vectors
+   belong to is spread over many block pairs, and only link counts leave a task.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing and are their own component; vectors of different lengths never link; rows that share a
 vec_id (null is an id too) are one vector, the greatest of theirs in array order; a null id is never
-linked; an empty table gives an empty table; other columns are ignored."""
+linked; vectors whose unit vectors are equal link with each other; an empty table gives an empty table; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -41,6 +44,9 @@ TARGET = 0.995
 MORE_ROUNDS = 4
 SLACK = 0.02           # what rounding may hide of a similarity
 BLOCK = 512            # vectors of one block of a component
+CLOSE = 64             # vectors of one block of saturated ones
+SLICE = 16 << 20       # bytes of saturated vectors that are held against all others at once
+SALTS = 256            # parts in which the copies of one vector are gathered
 ENTRY = np.dtype([("id", "<i8"), ("sim", "<f4")])
 
 
@@ -70,22 +76,24 @@ def _directions(blobs: list[bytes], dims: int) -> np.ndarray:
     return q / np.sqrt((q * q).sum(axis=1, keepdims=True))
 
 
-def _ordered(batches):
+def _ordered(signs: int, orders: int):
     """Each vector's place in every sorted order."""
-    for batch in batches:
-        dims = np.asarray(batch.column("dims"))
-        ids, blobs = batch.column("id").to_pylist(), batch.column("q").to_pylist()
-        for d in np.unique(dims):
-            pick = np.flatnonzero(dims == d)
-            x = _directions([blobs[i] for i in pick], int(d))
-            for t in range(ORDERS):
-                planes = np.random.default_rng([int(d), t]).normal(size=(int(d), SIGNS + 1)).astype(np.float32)
-                along = x @ planes
-                code = (along[:, :SIGNS] > 0) @ (1 << np.arange(SIGNS))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pick), int(d) * ORDERS + t), pa.int64()), pa.array(code, pa.int64()), pa.array(along[:, SIGNS].astype(float)),
-                     pa.array([ids[i] for i in pick], pa.int64()), pa.array([blobs[i] for i in pick], pa.binary()), pa.array(np.full(len(pick), d), pa.int32())],
-                    names=["part", "code", "along", "id", "q", "dims"])
+    def work(batches):
+        for batch in batches:
+            dims = np.asarray(batch.column("dims"))
+            ids, blobs = batch.column("id").to_pylist(), batch.column("q").to_pylist()
+            for d in np.unique(dims):
+                pick = np.flatnonzero(dims == d)
+                x = _directions([blobs[i] for i in pick], int(d))
+                for t in range(orders):
+                    planes = np.random.default_rng([int(d), t]).normal(size=(int(d), signs + 1)).astype(np.float32)
+                    along = x @ planes
+                    code = (along[:, :signs] > 0) @ (1 << np.arange(signs))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(pick), int(d) * orders + t), pa.int64()), pa.array(code, pa.int64()), pa.array(along[:, signs].astype(float)),
+                         pa.array([ids[i] for i in pick], pa.int64()), pa.array([blobs[i] for i in pick], pa.binary()), pa.array(np.full(len(pick), d), pa.int32())],
+                        names=["part", "code", "along", "id", "q", "dims"])
+    return work
 
 
 def _beside(batches):
@@ -183,6 +191,108 @@ def _links(lists: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
                   .join(vectors.select(F.col("id").alias("b"), F.col("x").alias("xb")), "b").mapInArrow(_exact_links(threshold), "a long, b long"), "edges")
 
 
+def _saturated(k: int, least: float):
+    """Ids of vectors whose lists are full of entries from ``least`` on."""
+    def work(batches):
+        for batch in batches:
+            full = [len(e) >= k and e["sim"].min() >= least for e in (np.frombuffer(b, ENTRY) for b in batch.column("list").to_pylist())]
+            yield batch.select(["id"]).filter(pa.array(full, pa.bool_()))
+    return work
+
+
+def _closed(batches):
+    """Runs of at most CLOSE vectors of one component and order code, with their centre and radius."""
+    for batch in batches:
+        dims, comp = np.asarray(batch.column("dims")), np.asarray(batch.column("component_id"))
+        blobs = batch.column("x").to_pylist()
+        rows = []
+        for s, c in zip(*map(np.ndarray.tolist, runs_of(comp))):
+            for d in np.unique(dims[s:s + c]).tolist():
+                pick = s + np.flatnonzero(dims[s:s + c] == d)
+                for at in range(0, len(pick), CLOSE):
+                    own = [blobs[i] for i in pick[at:at + CLOSE]]
+                    x = np.frombuffer(b"".join(own)).reshape(-1, d)
+                    centre = x.sum(axis=0)
+                    norm = np.sqrt(np.dot(centre, centre))
+                    centre = centre / norm if norm > 1e-6 else x[0]
+                    radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+                    rows.append((d, int(comp[s]), centre.tobytes(), radius, b"".join(own)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5,
+                                          (pa.int32(), pa.int64(), pa.binary(), pa.float64(), pa.binary()))],
+                                         names=["dims", "component_id", "centre", "radius", "members"])
+
+
+def _against(threshold: float, blocks):
+    """(a, b): components of which a vector of one block and an outer vector link."""
+    reach = float(np.arccos(min(max(threshold, -1.0), 1.0)))
+
+    def work(batches):
+        for batch in batches:
+            dims, comp = np.asarray(batch.column("dims")), np.asarray(batch.column("component_id"))
+            blobs = batch.column("x").to_pylist()
+            found = set()
+            for d in np.unique(dims).tolist():
+                if d not in blocks.value:
+                    continue
+                owners, centres, radii, members = blocks.value[d]
+                pick = np.flatnonzero(dims == d)
+                x, own = np.frombuffer(b"".join(blobs[i] for i in pick)).reshape(-1, d), comp[pick]
+                least = np.where(radii + reach < np.pi, np.cos(np.minimum(radii + reach, np.pi)) - 1e-6, -2.0)
+                near = (x @ centres.T >= least) & (own[:, None] != owners[None, :])
+                for j in np.flatnonzero(near.any(axis=0)).tolist():
+                    rows = np.flatnonzero(near[:, j])
+                    linked = (x[rows] @ members[j].T >= threshold).any(axis=1)
+                    found.update((int(owners[j]), c) for c in np.unique(own[rows[linked]]).tolist())
+            yield pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+    return work
+
+
+def _joined_across(joined: DataFrame, chosen: DataFrame | None, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``joined`` after the ``chosen`` vectors (all, if None) were compared with all vectors of other components."""
+    spark = joined.sparkSession
+    placed = stored(vectors.select("id", "dims", "x", "q").join(joined, "id"), "placed")
+    some = placed if chosen is None else placed.join(chosen, "id", "left_semi")
+    order = some.mapInArrow(_coded, "dims int, component_id long, x binary, code long")
+    blocks = stored(order.repartitionByRange("component_id", "dims", "code", F.xxhash64("x")).sortWithinPartitions("component_id", "dims", "code")
+                    .mapInArrow(_closed, "dims int, component_id long, centre binary, radius double, members binary"), "blocks")
+    blocks = blocks.withColumn("at", F.monotonically_increasing_id())
+    total = blocks.agg(F.sum(F.length("members") + F.length("centre"))).first()[0] or 0
+    n = -(-int(total) // SLICE)
+    if not n:
+        return joined
+    blocks = stored(blocks.withColumn("slice", F.pmod(F.xxhash64("at"), F.lit(n)).cast("int")).drop("at"), "slices")
+    links = None
+    for i in range(n):
+        by_dims: dict[int, list] = {}
+        for r in blocks.filter(F.col("slice") == i).toLocalIterator():
+            by_dims.setdefault(r["dims"], []).append(r)
+        held = spark.sparkContext.broadcast({
+            d: (np.array([r["component_id"] for r in rows]), np.frombuffer(b"".join(bytes(r["centre"]) for r in rows)).reshape(-1, d),
+                np.array([r["radius"] for r in rows]), [np.frombuffer(bytes(r["members"])).reshape(-1, d) for r in rows])
+            for d, rows in by_dims.items()})
+        part = stored(placed.select("dims", "x", "component_id").mapInArrow(_against(threshold, held), "a long, b long").distinct(), "across")
+        links = part if links is None else links.union(part)
+        held.destroy()
+    if links.isEmpty():
+        return joined
+    groups = components(joined.select(F.col("component_id").alias("id")).distinct(), links)
+    return stored(joined.join(groups.select(F.col("id").alias("component_id"), F.col("component_id").alias("root")), "component_id")
+                  .select("id", F.col("root").alias("component_id")), "components")
+
+
+def _coded(batches):
+    """The signs of projections, most telling last, so that close vectors sort together."""
+    for batch in batches:
+        dims = np.asarray(batch.column("dims"))
+        blobs, code = batch.column("q").to_pylist(), np.zeros(len(dims), np.int64)
+        for d in np.unique(dims).tolist():
+            pick = np.flatnonzero(dims == d)
+            planes = np.random.default_rng([d, 0]).normal(size=(d, SIGNS)).astype(np.float32)
+            code[pick] = (_directions([blobs[i] for i in pick], d) @ planes > 0) @ (1 << np.arange(SIGNS))
+        yield pa.RecordBatch.from_arrays([batch.column("dims"), batch.column("component_id"), batch.column("x"), pa.array(code)],
+                                         names=["dims", "component_id", "x", "code"])
+
+
 def _brute(threshold: float, sample):
     def work(batches):
         by_dims = sample.value
@@ -201,13 +311,13 @@ def _brute(threshold: float, sample):
 
 
 def _counted(threshold: float):
-    """Links of the vectors of one pair of blocks."""
+    """Links of the vectors of one pair of blocks, each counted as often as its other end has copies."""
     def work(batches):
         for batch in batches:
             ids, counts = [], []
             for i, j, members in zip(batch.column("i").to_pylist(), batch.column("j").to_pylist(), batch.column("members").to_pylist()):
                 own = np.array([m["id"] for m in members])
-                block = np.array([m["block"] for m in members])
+                block, n = np.array([m["block"] for m in members]), np.array([m["n"] for m in members])
                 size = np.array([len(m["x"]) for m in members])
                 for d in np.unique(size).tolist():
                     pick = np.flatnonzero(size == d)
@@ -216,10 +326,10 @@ def _counted(threshold: float):
                     linked = x[left] @ x[right].T >= threshold
                     if i == j:
                         np.fill_diagonal(linked, False)
-                        ids.append(own[pick]), counts.append(linked.sum(axis=1))
+                        ids.append(own[pick]), counts.append(linked @ n[pick])
                     else:
                         ids += [own[pick][left], own[pick][right]]
-                        counts += [linked.sum(axis=1), linked.sum(axis=0)]
+                        counts += [linked @ n[pick][right], n[pick][left] @ linked]
             yield pa.RecordBatch.from_pydict({"id": pa.array(np.concatenate(ids) if ids else [], pa.int64()),
                                               "n": pa.array(np.concatenate(counts) if counts else [], pa.int64())})
     return work
@@ -229,11 +339,11 @@ def _neighbourhoods(placed: DataFrame, vectors: DataFrame, threshold: float) ->
     """``(id, n_links)`` over whole components."""
     size = placed.groupBy("component_id").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (placed.join(size, "component_id").join(vectors.select("id", "x"), "id").withColumn("blocks", blocks)
+    dealt = (placed.join(size, "component_id").join(vectors.select("id", "x", "n"), "id").withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     pairs = dealt.groupBy("component_id", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
-        F.collect_list(F.struct("id", "block", "x")).alias("members"))
+        F.collect_list(F.struct("id", "block", "x", "n")).alias("members"))
     return pairs.mapInArrow(_counted(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
@@ -248,9 +358,16 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     if twice is not None and twice > 1:
         given = given.groupBy("id").agg(F.max("embedding").alias("embedding"))
     everything = stored(given.mapInArrow(_valid, "id long, dims int, x binary, q binary"), "vectors")
-    vectors = everything.filter("dims is not null and id is not null")
-
-    placed = vectors.mapInArrow(_ordered, "part long, code long, along double, id long, q binary, dims int")
+    usable = F.col("dims").isNotNull() & F.col("id").isNotNull()
+    # One representative, the smallest id, for each group of copies; a large group is gathered in parts.
+    marked = everything.filter(usable).withColumn("digest", F.sha2(F.concat(F.col("dims").cast("string").cast("binary"), F.col("x")), 256))
+    parts = stored(marked.groupBy("digest", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")).agg(F.collect_list("id").alias("ids")), "copies")
+    groups = stored(parts.groupBy("digest").agg(F.min(F.array_min("ids")).alias("rep"), F.sum(F.size("ids")).cast("long").alias("n")), "groups")
+    copies = parts.join(groups, "digest").select("rep", "ids")
+    vectors = stored(everything.filter(usable).join(groups.select(F.col("rep").alias("id"), "n"), "id"), "representatives")
+
+    signs, orders = SIGNS, ORDERS
+    placed = vectors.mapInArrow(_ordered(signs, orders), "part long, code long, along double, id long, q binary, dims int")
     first = placed.repartitionByRange("part", "code", "along").sortWithinPartitions("part", "code", "along").mapInArrow(_beside, "id long, list binary")
     lists = _merged(first, k)
     for _ in range(ROUNDS):
@@ -262,11 +379,11 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
         own = [r for r in asked if r["dims"] == d]
         by_dims[d] = (np.array([r["id"] for r in own]), np.frombuffer(b"".join(bytes(r["x"]) for r in own)).reshape(len(own), d))
     truth = stored(vectors.mapInArrow(_brute(threshold, spark.sparkContext.broadcast(by_dims)), "a long, b long"), "audit")
-    recall = 1.0
     for more in range(MORE_ROUNDS + 1):
         links = _links(lists, vectors, threshold)
-        nodes = vectors.select("id")
-        joined = stored(components(nodes, links), "components")
+        joined = stored(components(vectors.select("id"), links), "components")
+        full = stored(lists.mapInArrow(_saturated(k, threshold - SLACK), "id long"), "saturated")
+        joined = _joined_across(joined, full, vectors, threshold)
         # A link counts as found if both ends are in one component: its neighbourhood is compared whole.
         ends = (truth.join(joined.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a")
                 .join(joined.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b"))
@@ -278,7 +395,9 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
         lists = _descend(lists, vectors, k)
 
     counts = _neighbourhoods(joined, vectors, threshold)
-    out = (everything.select("id").join(joined, "id", "left").join(counts, "id", "left")
-           .select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                   F.coalesce("component_id", "id").alias("component_id")))
+    linked = (joined.join(vectors.select("id", "n"), "id").join(counts, "id", "left")
+              .select(F.col("id").alias("rep"), "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links")))
+    out = (copies.join(linked, "rep").select(F.explode("ids").alias("id"), "n_links", "component_id")
+           .union(everything.filter(~usable).select("id", F.lit(0).cast("long"), "id"))
+           .select(F.col("id").alias("vec_id"), F.col("n_links").cast("long").alias("n_links"), "component_id"))
     return out.select("*", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(float(recall)).alias("audited_recall"))

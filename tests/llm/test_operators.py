@@ -178,6 +178,32 @@ def test_vectors(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) and r["audited_recall"] >= 0.99 for r in out.collect())
 
 
+def linked_groups(size=300):
+    """Two groups of near copies at a cosine of about 0.92, exact copies, and one vector between two groups."""
+    rng = random.Random(8)
+
+    def near(centre, n):
+        return [[x + rng.gauss(0, 0.002) for x in centre] for _ in range(n)]
+
+    def turned(a, b, cosine):
+        return [cosine * x + (1 - cosine ** 2) ** 0.5 * y for x, y in zip(a, b)]
+
+    unit = [[float(i == j) for j in range(16)] for i in range(16)]
+    rows = near(unit[0], size) + near(turned(unit[0], unit[1], 0.92), size)
+    rows += near(unit[2], size) + near(turned(unit[2], unit[3], 0.8), size) + [turned(unit[2], unit[3], 0.95)]
+    rows += [unit[5]] * size + [turned(unit[5], unit[6], 0.92)] * size
+    rng.shuffle(rows)
+    return dict(enumerate(rows))
+
+
+def test_vectors_of_full_lists(spark):
+    rows = linked_groups()
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").repartition(5)
+    got, want = result(near_duplicate_vectors(df), "n_links", "component_id", key="vec_id"), brute.vectors(rows)
+    print("links", sum(r[0] for r in got.values()), "of", sum(r[0] for r in want.values()))
+    assert got == want
+
+
 def test_packing_is_gapless_and_exact(spark, docs):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(vocabulary())
