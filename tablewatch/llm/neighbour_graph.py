@@ -5,7 +5,7 @@ precision on the given values.
 
 0. *Copies.* Vectors of one direction become one representative with a weight.
 1. *Start.* Vectors are sorted several times by the signs of random projections; neighbours in a
-   sorted order are the first neighbour lists.
+   sorted order are the first neighbour lists. Signs and orders grow with the number of vectors.
 2. *Descent.* Each vector gathers its neighbours and some of the vectors that list it, compares all
    of these with one another and sends every one its best new neighbours: a
    neighbours-of-neighbours join. Lists keep the ``k`` most similar.
@@ -13,8 +13,9 @@ precision on the given values.
    saturated: it cannot hold all links of its vector, and no descent over full lists finds the others.
    So vectors with saturated lists are compared with all vectors outside their component, in blocks of
    close vectors whose centre and radius rule most others out; components that link are joined.
-4. *Audit.* A bounded set of vectors, by a hash of their ids, is compared with all vectors. While less
-   than ``TARGET`` of the links found so are held, ``k`` doubles and the descent goes on.
+4. *Audit.* A bounded set of vectors, by a hash of their ids, is compared with all vectors. While the
+   mean share found of a linked vector's links is below ``TARGET``, ``k`` doubles and the descent goes
+   on; when that does not reach it, all vectors are compared as the saturated ones are.
 5. *Counts.* Every component is compared block by block; a component that a third of all vectors
    belong to is spread over many block pairs, and only link counts leave a task.
 
@@ -35,8 +36,10 @@ from tablewatch.llm.common import components, prepare, stored
 
 K = 10
 ROUNDS = 3
-ORDERS = 6             # sorted orders of the start
-SIGNS = 10             # projections whose signs lead an order
+ORDERS = 6             # sorted orders of the start, at SIGNS signs
+SIGNS = 10             # least number of projections whose signs lead an order
+PER_CODE = 16          # vectors that share all signs, on average, from which a sign is added
+AGREE = 0.85           # chance that a sign is equal at a cosine of 0.9
 BESIDE = 3             # neighbours taken to either side
 OFFER = 5              # best neighbours sent to each vector by one join
 AUDIT = 512            # vectors compared with all others
@@ -76,6 +79,12 @@ def _directions(blobs: list[bytes], dims: int) -> np.ndarray:
     return q / np.sqrt((q * q).sum(axis=1, keepdims=True))
 
 
+def _start(n: int) -> tuple[int, int]:
+    """Signs and orders for ``n`` vectors: codes stay small, and close vectors meet as often at any size."""
+    signs = min(max(SIGNS, int(np.ceil(np.log2(max(n, 1) / PER_CODE)))), 60)
+    return signs, int(np.ceil(ORDERS * AGREE ** (SIGNS - signs)))
+
+
 def _ordered(signs: int, orders: int):
     """Each vector's place in every sorted order."""
     def work(batches):
@@ -347,6 +356,15 @@ def _neighbourhoods(placed: DataFrame, vectors: DataFrame, threshold: float) ->
     return pairs.mapInArrow(_counted(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
+def _recall(truth: DataFrame, joined: DataFrame) -> float:
+    """Mean over the audited vectors that have links of the share found of their links. A link counts
+    as found if both ends are in one component: its neighbourhood is compared whole."""
+    ends = (truth.join(joined.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a")
+            .join(joined.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b"))
+    share = ends.groupBy("a").agg(F.avg((F.col("ca") == F.col("cb")).cast("double")).alias("share")).agg(F.avg("share")).first()[0]
+    return 1.0 if share is None else float(share)
+
+
 def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9,
                            k: int = K) -> DataFrame:
     """``(vec_id, n_links, component_id, kept, audited_recall)`` for each vector: others at a cosine of
@@ -366,7 +384,7 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     copies = parts.join(groups, "digest").select("rep", "ids")
     vectors = stored(everything.filter(usable).join(groups.select(F.col("rep").alias("id"), "n"), "id"), "representatives")
 
-    signs, orders = SIGNS, ORDERS
+    signs, orders = _start(vectors.count())
     placed = vectors.mapInArrow(_ordered(signs, orders), "part long, code long, along double, id long, q binary, dims int")
     first = placed.repartitionByRange("part", "code", "along").sortWithinPartitions("part", "code", "along").mapInArrow(_beside, "id long, list binary")
     lists = _merged(first, k)
@@ -384,12 +402,12 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
         joined = stored(components(vectors.select("id"), links), "components")
         full = stored(lists.mapInArrow(_saturated(k, threshold - SLACK), "id long"), "saturated")
         joined = _joined_across(joined, full, vectors, threshold)
-        # A link counts as found if both ends are in one component: its neighbourhood is compared whole.
-        ends = (truth.join(joined.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a")
-                .join(joined.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b"))
-        found, total = ends.agg(F.count_if(F.col("ca") == F.col("cb")), F.count(F.lit(1))).first()
-        recall = found / total if total else 1.0
-        if recall >= TARGET or more == MORE_ROUNDS:
+        recall = _recall(truth, joined)
+        if recall >= TARGET:
+            break
+        if more == MORE_ROUNDS:
+            joined = _joined_across(joined, None, vectors, threshold)
+            recall = _recall(truth, joined)
             break
         k *= 2
         lists = _descend(lists, vectors, k)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, packing, quality
+from tablewatch.llm import bpe, neighbour_graph, packing, quality
 from tablewatch.llm.decontaminate import find_benchmark
 from tablewatch.llm.line_dedup import remove_repeated_lines
 from tablewatch.llm.minhash_dedup import near_duplicates
@@ -204,6 +204,19 @@ def test_vectors_of_full_lists(spark):
     assert got == want
 
 
+def test_vectors_when_the_descent_finds_nothing(spark, monkeypatch):
+    """A large group does not hide that small pairs are missing, and an incomplete search is completed."""
+    monkeypatch.setattr(neighbour_graph, "MORE_ROUNDS", 0)
+    monkeypatch.setattr(neighbour_graph, "_descend", lambda lists, vectors, k: lists.filter("id < 300"))
+    rng = random.Random(9)
+    centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(51)]
+    rows = dict(enumerate([x + rng.gauss(0, 0.05) for x in centres[min(i // 300, 1) and 1 + (i - 300) % 50]] for i in range(400)))
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").repartition(5)
+    got, want = result(near_duplicate_vectors(df), "n_links", "component_id", key="vec_id"), brute.vectors(rows)
+    print("vectors right", sum(got[i] == want[i] for i in want), "of", len(want))
+    assert got == want
+
+
 def test_packing_is_gapless_and_exact(spark, docs):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(vocabulary())
