@@ -5,10 +5,10 @@ over the counts of all documents' vote patterns (at most 3**7 of them, whatever
 each heuristic's accuracy on good and on bad documents and the share of good ones, and gives each
 pattern a posterior. The posteriors of a bounded sample of at most about ``SAMPLE`` documents, by a hash
 of the text, train a linear scorer over hashed word shapes: how words begin and end, their length,
-and whether a word repeats the one before. The scorer then judges every whole text, so documents on
+whether a word repeats the one before, and whether its window of the text held it already. The scorer then judges every whole text, so documents on
 which the heuristics are silent are judged by what the others taught.
 
-Texts of fewer than ``FEW_WORDS`` words show too little: they get no votes and are never rejected.
+Texts of fewer than ``FEW_WORDS`` words show too little for votes; the scorer judges them as any other.
 
 Defined results: a null or empty text has no words and scores the scorer's bias alone; it is kept. Rows are scored one by one, so repeated rows each get their row; an empty table
 gives an empty table."""
@@ -30,7 +30,8 @@ SAMPLE = 20_000
 SHAPE_BITS = 12
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 ROUNDS = 100
-FEW_WORDS = 8       # shorter texts get no votes and are kept
+FEW_WORDS = 8       # shorter texts get no votes
+WINDOW = 256        # words among which a word counts as distinct
 START = ((0.40, 0.60), (0.05, 0.95))  # shares of bad and good votes on bad, and on good documents
 
 # Fixed values: (name, bad from, good up to, whether small values are the bad ones).
@@ -38,7 +39,7 @@ LABELLERS = (
     ("signs", 0.15, 0.05, False),        # words with a sign other than . , ; : ' " - ( ) ?
     ("shouting", 0.25, 0.05, False),     # words of two and more capitals
     ("repeats", 0.15, 0.05, False),      # words equal to the word before
-    ("variety", 0.35, 0.50, True),       # distinct words among the first 256
+    ("variety", 0.35, 0.50, True),       # distinct words in each 256, over the whole text
     ("sentences", 0.010, 0.04, True),    # words that end a sentence with . or ?
     ("bare signs", 0.15, 0.03, False),   # words without any letter or digit
     ("long words", 0.50, 0.20, False),   # words of more than 12 bytes
@@ -71,6 +72,12 @@ class _Texts:
         self.count = np.bincount(self.row, minlength=self.n)
         self.again = np.zeros(len(self.row), bool)
         self.again[1:] = (self.hashes[1:] == self.hashes[:-1]) & (self.row[1:] == self.row[:-1])
+        # Words seen earlier in their window of the text.
+        window = (np.arange(len(self.row)) - bt.first_of(self.row, self.n)[self.row]) // WINDOW
+        order = np.lexsort((self.hashes, window, self.row))
+        h, w, r = self.hashes[order], window[order], self.row[order]
+        self.old = np.zeros(len(self.row), bool)
+        self.old[order[1:]] = (h[1:] == h[:-1]) & (w[1:] == w[:-1]) & (r[1:] == r[:-1])
 
     def _within(self, kind: np.ndarray) -> np.ndarray:
         """Bytes of a kind in each word."""
@@ -83,14 +90,8 @@ class _Texts:
     def measures(self) -> np.ndarray:
         letters = self._within(_LETTER)
         capitals = self._within(_UPPER)
-        first = bt.first_of(self.row, self.n)
-        head = np.flatnonzero(np.arange(len(self.row)) - first[self.row] < 256)
-        order = np.lexsort((self.hashes[head], self.row[head]))
-        h, r = self.hashes[head][order], self.row[head][order]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (r[1:] != r[:-1]))) if len(h) else np.zeros(0, bool)
-        distinct = np.bincount(r[new], minlength=self.n) / np.maximum(np.minimum(self.count, 256), 1)
         return np.stack((
-            self._share(self._within(_SIGN) > 0), self._share((capitals > 1) & (2 * capitals > letters)), self._share(self.again), distinct,
+            self._share(self._within(_SIGN) > 0), self._share((capitals > 1) & (2 * capitals > letters)), self._share(self.again), self._share(~self.old),
             self._share(_END[self.data[self.ends - 1]] if len(self.ends) else np.zeros(0)), self._share(letters == 0),
             self._share(self.ends - self.starts > 12)), axis=1)
 
@@ -103,13 +104,13 @@ class _Texts:
         return out
 
     def shapes(self) -> np.ndarray:
-        """Three hashed features of every word."""
+        """Four hashed features of every word."""
         size = self.ends - self.starts
         head = bt.word_hashes(self.data, self.starts, self.starts + np.minimum(size, 2), _SHAPE)
         tail = bt.word_hashes(self.data, self.ends - np.minimum(size, 2), self.ends, _SHAPE)
         length = np.minimum(size, 16).astype(U) * U(2) + self.again.astype(U)
         return np.stack([(bt.mix(h + U(salt)) >> U(64 - SHAPE_BITS)).astype(np.int64)
-                         for salt, h in enumerate((head, tail, bt.mix(length + U(1))))])
+                         for salt, h in enumerate((head, tail, bt.mix(length + U(1)), bt.mix(self.old.astype(U) + U(64))))])
 
 
 def _pattern(votes: np.ndarray) -> np.ndarray:
@@ -234,7 +235,7 @@ def classify(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: st
             p = s.scores(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(s.posterior[_pattern(texts.votes())], pa.float64()), pa.array(p, pa.float64()),
-                 pa.array((p >= threshold) | (texts.count < FEW_WORDS))], names=["doc_id", "posterior", "score", "kept"])
+                 pa.array((p >= threshold) | (texts.count == 0))], names=["doc_id", "posterior", "score", "kept"])
 
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return docs.mapInArrow(work, "doc_id long, posterior double, score double, kept boolean")
@@ -248,6 +249,6 @@ def keep_good(df: DataFrame, scorer: Scorer, text_col: str = "text", threshold:
     def work(batches):
         for batch in batches:
             texts = _Texts(batch.column(place))
-            yield batch.filter(pa.array((shared.value.scores(texts) >= threshold) | (texts.count < FEW_WORDS)))
+            yield batch.filter(pa.array((shared.value.scores(texts) >= threshold) | (texts.count == 0)))
 
     return df.mapInArrow(work, df.schema)

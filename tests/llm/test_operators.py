@@ -333,6 +333,27 @@ def test_quality_on_awkward_rows(spark, docs):
     kept = quality.keep_good(df, scorer)
     assert kept.schema == df.schema and kept.count() == sum(r["kept"] for r in out)
 
+def test_quality_beyond_the_start(spark):
+    """A varied start does not excuse a sentence repeated for the rest; few words are no excuse either."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+
+    def prose(n, stops=True):
+        return " ".join(rng.choice(words) + "." * (stops and rng.random() < 0.125) for _ in range(n))
+
+    rows = [(i, prose(rng.randint(60, 900))) for i in range(400)]
+    rows += [(1000 + i, prose(256, False) + " " + " ".join([prose(12, False)] * 200)) for i in range(60)]
+    rows += [(2000 + i, " ".join(rng.choice(["$$$", "###", "@@@", "%%%"]) for _ in range(40))) for i in range(60)]
+    rows += [(3000, "$$$ $$$ ### ### $$$ ### $$$"), (3001, prose(5)), (3002, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = quality.classify(df, quality.learn(df)).collect()
+    assert all(r["kept"] == (r["score"] >= 0.25) for r in out if r["doc_id"] != 3002)
+    kept = {r["doc_id"] for r in out if r["kept"]}
+    print("good kept", sum(i in kept for i in range(400)), "repeated kept", sum(1000 + i in kept for i in range(60)), "short junk kept", 3000 in kept)
+    assert all(i in kept for i in (*range(400), 3001, 3002))
+    assert not any(i in kept for i in (*range(1000, 1060), *range(2000, 2060), 3000))
+
+
 
 # -- empty tables ----------------------------------------------------------------------------
 
