@@ -2,7 +2,7 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept, whatever
 further columns they have. The first four return the columns of ``docs``; ``n_chars``, if there is
-one, follows a changed text. Rows that share a doc_id are one document from line dedup on."""
+one, follows a changed text. Rows that share a doc_id are one document from near-dedup on."""
 
 from __future__ import annotations
 
@@ -25,10 +25,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep_good(docs, quality.learn(docs))
 
 
+def _mended_lines(docs: DataFrame):
+    """The texts that lose lines, and what joins them to their rows. Rows that share a doc_id but not
+    a text are documents of their own, in the order of id and text."""
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return remove_repeated_lines(docs).filter("n_removed > 0"), lambda d, m: d["doc_id"].eqNullSafe(m["doc_id"])
+    rows = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("given")).distinct().orderBy("doc_id", "given")
+                  .withColumn("row", F.monotonically_increasing_id()), "line-rows")
+    mended = remove_repeated_lines(rows, "row", "given").filter("n_removed > 0").withColumnRenamed("doc_id", "row")
+    return (rows.join(mended, "row").select("doc_id", "given", "text"),
+            lambda d, m: d["doc_id"].eqNullSafe(m["doc_id"]) & (F.coalesce(d["text"], F.lit("")) == m["given"]))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line matches; every document keeps its row."""
-    mended = remove_repeated_lines(docs).filter("n_removed > 0")
-    both = docs.join(mended, docs["doc_id"].eqNullSafe(mended["doc_id"]), "left")
+    mended, same = _mended_lines(docs)
+    both = docs.join(mended, same(docs, mended), "left")
     new = {"text": F.coalesce(mended["text"], docs["text"])}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.coalesce(F.length(mended["text"]).cast(docs.schema["n_chars"].dataType), docs["n_chars"])

@@ -73,3 +73,14 @@ def test_packing(tables):
 
 def test_run(spark, tables):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_lines_of_repeated_ids(spark):
+    """Rows that share an id, null included, keep their own texts and lose their own lines."""
+    line = "some line of more than ten words that comes again and again here"
+    given = [(None, "first text of its own\n" + line), (None, "second text of its own\n" + line), (7, "third\n" + line), (7, "fourth"), (8, line)]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    out = sorted((r["text"] for r in corpus_pipeline.line_dedup(spark, df, SMALL).collect()))
+    print("lines kept", out)
+    assert sum(line in t for t in out) == 1
+    assert sorted(t.replace(line, "").strip() for t in out) == ["", "first text of its own", "fourth", "second text of its own", "third"]
