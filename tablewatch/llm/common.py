@@ -33,19 +33,39 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int, int]:
-    """``(doc_id, text)`` with one row per id, the number of rows and of text bytes.
-
-    Rows that share an id (null is an id too) are one document whose text is the greatest of
-    theirs in string order; a null text is the empty text. Only the id column and the lengths are
-    read to find out whether that grouping is needed."""
+def corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int, int, DataFrame | None]:
+    """``(doc_id, text)`` with a doc_id of its own for each document, the number of documents, their
+    bytes, and ``(row, id)`` to turn those numbers back into ids (None: they are the ids).
+
+    A document is a distinct pair of id and text; a null text is the empty text. Where all ids are
+    there and differ, they number the documents. Where an id is null or repeated, its texts all stay
+    documents of their own, numbered in the order of ids, null last. Only the id column and the
+    lengths are read to find that out."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    per_id = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("b"))
-    facts = per_id.agg(F.max("n"), F.count(F.lit(1)), F.sum("b")).first()
-    if facts[0] is not None and facts[0] > 1:
-        docs = docs.groupBy("doc_id").agg(F.max("text").alias("text"))
-    return docs, int(facts[1] or 0), int(facts[2] or 0)
+    per_id = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"))
+    most, ids, size, known = per_id.agg(F.max("n"), F.count(F.lit(1)), F.sum("b"), F.count("doc_id")).first()
+    if ids == known and (most or 0) <= 1:
+        return docs, ids, int(size or 0), None
+    rows = numbered(docs)
+    return (rows.select(F.col("row").alias("doc_id"), "text"), rows.count(), int(size or 0),
+            rows.select("row", F.col("doc_id").alias("id")))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, text)`` of the distinct rows of ``docs (doc_id, text)``; ``row`` ascends with doc_id, null last."""
+    return stored(docs.distinct().orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text"))
+                  .withColumn("row", F.monotonically_increasing_id()), "rows").select("row", "doc_id", "text")
+
+
+def named(out: DataFrame, names: DataFrame | None, *columns: str) -> DataFrame:
+    """``out`` with the document numbers of ``columns`` turned back into ids."""
+    if names is None:
+        return out
+    order = out.columns
+    for c in columns or ("doc_id",):
+        out = out.join(names.select(F.col("row").alias(c), F.col("id").alias("__id")), c).drop(c).withColumnRenamed("__id", c)
+    return out.select(*order)
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

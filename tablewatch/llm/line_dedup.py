@@ -16,8 +16,8 @@ A line goes if an earlier line by (doc_id, line number) matches it; lines withou
 For each variant and gap only the earliest line matters, so a task sends the earliest of its buffer
 and settles the rest: a line that a third of all documents hold is sent once per buffer.
 
-Defined results: a null or empty text has no lines with words; rows that share an id are one
-document (see ``corpus``); an empty table gives an empty table; other columns are ignored. Of the
+Defined results: a null or empty text has no lines with words; rows equal in id and
+text are one document, rows that share an id only are several, null the last (see ``corpus``); an empty table gives an empty table; other columns are ignored. Of the
 lines that stay, every byte stays."""
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm import bytetext as bt
 from tablewatch.llm import exchange as ex
 from tablewatch.llm.bytetext import U
-from tablewatch.llm.common import corpus, prepare, stored
+from tablewatch.llm.common import corpus, named, prepare, stored
 
 NEAR_WORDS = 8
 NULL_ID = -1 << 62
@@ -225,7 +225,7 @@ def _kept_lines(batches):
 def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, n_lines, n_removed)``: each text without the lines that an earlier line matches."""
     prepare(df.sparkSession)
-    docs, n_docs, size = corpus(df, id_col, text_col)
+    docs, _, size, names = corpus(df, id_col, text_col)
     hits = stored(ex.per_document(ex.repeated(docs, _half_keys, size // 60, 6)), "half-hits")
     docs = stored(docs.join(hits, docs.doc_id.eqNullSafe(F.when(hits.doc_id != NULL_ID, hits.doc_id)), "left")
                   .select(docs.doc_id, "text", "hits", "n"), "candidate-lines")
@@ -239,4 +239,4 @@ def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
             .select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("of"), F.col("hits").alias("gone")))
     mended = touched.join(gone, touched.doc_id.eqNullSafe(gone.of), "left").select("doc_id", "text", F.col("gone").alias("hits"))
     untouched = docs.filter("hits is null").select("doc_id", "text", "hits")
-    return untouched.union(mended).mapInArrow(_kept_lines, "doc_id long, text string, n_lines long, n_removed long")
+    return named(untouched.union(mended).mapInArrow(_kept_lines, "doc_id long, text string, n_lines long, n_removed long"), names)

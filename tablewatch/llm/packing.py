@@ -11,8 +11,8 @@ cannot beat the best packing known. The first incumbent is best fit decreasing.
 The solution is a list of patterns. Every piece is ranked within its length, in buckets that split
 a length that a third of all pieces share, and its rank gives its sequence and place.
 
-Defined results: a null or empty text is the end id alone; rows that share an id are one document
-(see ``corpus``); an empty table gives an empty table; other columns are ignored."""
+Defined results: a null or empty text is the end id alone; rows equal in id and text are one
+document, rows that share an id only are several under that id (see ``corpus``); an empty table gives an empty table; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.llm import bytetext as bt
 from tablewatch.llm.bpe import encoder
-from tablewatch.llm.common import corpus, prepare, stored
+from tablewatch.llm.common import corpus, named, prepare, stored
 
 STEPS = 6_000        # fillings applied before the best packing so far is taken
 BRANCHES = 4         # fillings tried at a branching
@@ -225,7 +225,7 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """``(doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset)``: a row for each piece.
     With ``with_ids`` the token ids as little-endian unsigned 32-bit numbers."""
     prepare(df.sparkSession)
-    docs, _, _ = corpus(df, id_col, text_col)
+    docs, _, _, names = corpus(df, id_col, text_col)
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     pieces = stored(docs.mapInArrow(_cut(tokenizer, capacity, end_id, with_ids), kind), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -238,5 +238,6 @@ def pack_documents(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     own = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")) - 1
     ranked = (pieces.withColumn("own", own).join(before, ["length", "bucket"])
               .withColumn("rank", (F.col("own") + F.col("before")).cast("long")))
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-    return ranked.select(*names, "rank").mapInArrow(_located(_place(patterns)), kind + ", sequence_id long, offset long")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    placed = ranked.select(*columns, "rank").mapInArrow(_located(_place(patterns)), kind + ", sequence_id long, offset long")
+    return named(placed, names)

@@ -140,7 +140,7 @@ from reach r left join n on n.doc_id = r.doc_id group by r.doc_id
 """)
 def op7(spark, sf_dir):
     out = near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=80)
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op8_line_dedup")

@@ -7,8 +7,8 @@ the other copies' probes find it: no repeat is missed. Each hit is then extended
 ``window - block`` words to either side, the ``window``-word runs there are confirmed by their
 64-bit hashes over the corpus, and neighbouring confirmed runs merge into maximal exact repeats.
 
-Defined results: a null or empty text has no words; rows that share an id are one document (see
-``corpus``); an empty table gives an empty table; other columns are ignored."""
+Defined results: a null or empty text has no words; rows equal in id and text are one
+document, rows that share an id only are several (see ``corpus``); an empty table gives an empty table; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.llm import bytetext as bt
 from tablewatch.llm import exchange as ex
-from tablewatch.llm.common import corpus, prepare, stored
+from tablewatch.llm.common import corpus, named, prepare, stored
 
 
 class _Probe:
@@ -89,7 +89,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``keep_first`` the first occurrence by (doc_id, position) of each run stays."""
     block = (window + 1) // 2
     prepare(df.sparkSession)
-    docs, _, size = corpus(df, id_col, text_col)
+    docs, _, size, names = corpus(df, id_col, text_col)
     hits = stored(ex.per_document(ex.repeated(docs, _Probe(block), size // 6, 5)), "block-hits")
     docs = stored(docs.join(hits, docs.doc_id.eqNullSafe(F.when(hits.doc_id != -1 << 62, hits.doc_id)), "left")
                   .select(docs.doc_id, "text", "hits", "n"), "with-hits")
@@ -99,5 +99,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                        int(found), 8, keep_first))
     runs = runs.select(F.when(F.col("doc_id") != -1 << 62, F.col("doc_id")).alias("of"), F.col("hits").alias("runs"))
     mended = touched.join(runs, touched.doc_id.eqNullSafe(runs.of), "left").select("doc_id", "text", F.col("runs").alias("hits"))
-    return (docs.filter("hits is null").select("doc_id", "text", "hits").union(mended)
-            .mapInArrow(_removed(window), "doc_id long, text string, n_words long, n_removed long"))
+    return named(docs.filter("hits is null").select("doc_id", "text", "hits").union(mended)
+                 .mapInArrow(_removed(window), "doc_id long, text string, n_words long, n_removed long"), names)

@@ -17,8 +17,8 @@ A suffix array of the whole corpus would outweigh it many times, and only repeat
    earlier copy exists. The mirrored arrays (previous and next larger position) tell whether a
    later one does.
 
-Defined results: a null or empty text has no bytes; rows that share an id are one document (see
-``corpus``); texts shorter than ``length`` keep all bytes; an empty table gives an empty table;
+Defined results: a null or empty text has no bytes; rows equal in id and text are one
+document, rows that share an id only are several (see ``corpus``); texts shorter than ``length`` keep all bytes; an empty table gives an empty table;
 other columns are ignored."""
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tablewatch.llm import bytetext as bt
 from tablewatch.llm import exchange as ex
 from tablewatch.llm.bytetext import U
-from tablewatch.llm.common import corpus, prepare, stored
+from tablewatch.llm.common import corpus, named, prepare, stored
 
 GRAM = 32
 CHUNK = 1 << 18               # bytes hashed at a time
@@ -267,7 +267,7 @@ def remove_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str =
     if length <= GRAM:
         raise ValueError(f"length must be more than {GRAM}")
     prepare(df.sparkSession)
-    docs, _, size = corpus(df, id_col, text_col)
+    docs, _, size, names = corpus(df, id_col, text_col)
     hits = stored(ex.per_document(ex.repeated(docs, _Anchors(length), size // 80, 8)), "anchor-hits")
     docs = stored(docs.join(hits, docs.doc_id.eqNullSafe(F.when(hits.doc_id != NULL_ID, hits.doc_id)), "left")
                   .select(docs.doc_id, "text", "hits", "n"), "with-anchors")
@@ -280,5 +280,5 @@ def remove_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str =
              .groupBy(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("of")).agg(F.collect_list("spans").alias("spans")))
     mended = touched.join(spans, touched.doc_id.eqNullSafe(spans.of), "left").select("doc_id", "text", "spans")
     untouched = docs.filter("hits is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("spans"))
-    return untouched.union(mended).mapInArrow(
-        _removed(length), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return named(untouched.union(mended).mapInArrow(
+        _removed(length), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"), names)

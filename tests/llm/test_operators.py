@@ -369,17 +369,35 @@ def test_empty_tables(spark):
 
 def test_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(80))
-    df = spark.createDataFrame([(None, text), (None, "zz"), (1, text), (2, None)], "doc_id long, text string")
-    words = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in remove_repeats(df).collect()}
-    assert words == {None: (1, 0), 1: (80, 0), 2: (0, 0)}  # rows of one id are one document: the greatest text
     both = spark.createDataFrame([(None, text), (1, text)], "doc_id long, text string")
     assert {r["doc_id"]: r["n_removed"] for r in remove_repeats(both).collect()} == {None: 80, 1: 80}
     assert {r["doc_id"]: r["n_removed"] for r in remove_repeated_bytes(both).collect()} == {None: len(text), 1: len(text)}
-    assert {r["doc_id"]: r["n_removed"] for r in remove_repeated_lines(both).collect()} == {None: 0, 1: 1}
-    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(both).collect()} == {None: None, 1: 1}
+    assert {r["doc_id"]: r["n_removed"] for r in remove_repeated_lines(both).collect()} == {None: 1, 1: 0}  # null counts as the last id
+    assert {r["doc_id"]: (r["component_id"], r["kept"]) for r in near_duplicates(both).collect()} == {None: (1, False), 1: (1, True)}
     assert pack_documents(both, vocabulary()).count() == 2
 
 
+def test_repeated_ids(spark):
+    """Rows that share an id, null included, but not a text are documents of their own."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(4)]
+    given = [(1, texts[0]), (1, texts[1]), (2, texts[0]), (None, texts[2]), (None, texts[3]), (None, texts[3])]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    want = sorted([(1, 80), (1, 0), (2, 80), (-1, 0), (-1, 0)])
+    cut = [(-1 if r["doc_id"] is None else r["doc_id"], r["n_removed"]) for r in remove_repeats(df).collect()]
+    assert sorted(cut) == want
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_removed"] // len(texts[0])) for r in remove_repeated_bytes(df).collect()) \
+        == sorted([(1, 1), (1, 0), (2, 1), (-1, 0), (-1, 0)])
+    assert sorted((r["doc_id"] or -1, r["n_removed"]) for r in remove_repeated_lines(df).collect()) == sorted([(1, 0), (1, 0), (2, 1), (-1, 0), (-1, 0)])
+    near = sorted((r["doc_id"] or -1, r["component_id"] or -1, r["kept"]) for r in near_duplicates(df).collect())
+    assert near == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (-1, -1, True), (-1, -1, True)])
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(vocabulary())
+    tokens = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in set(given))
+    pieces = pack_documents(df, vocabulary()).collect()
+    assert sum(r["length"] for r in pieces) == tokens and len(pieces) == 5
+
+
 # -- the registered queries on the given tables ------------------------------------------------
 
 def test_registered_queries(spark, small):
