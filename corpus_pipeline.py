@@ -2,20 +2,17 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept, whatever
 further columns they have. The first four return the columns of ``docs``; ``n_chars``, if there is
-one, follows a changed text. Rows that share a doc_id are one document from near-dedup on."""
+one, follows a changed text. Rows that share a doc_id are documents of their own."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablewatch.llm import quality
 from tablewatch.llm.common import prepare, stored
-from tablewatch.llm.decontaminate import find_benchmark
-from tablewatch.llm.line_dedup import remove_repeated_lines
-from tablewatch.llm.minhash_dedup import near_duplicates
 from tablewatch.llm.packing import pack_documents
 from tablewatch.llm.queries import vocabulary
+from tablewatch.llm.stages import drop_contaminated, drop_near_duplicates, drop_repeated_lines
 
 WORDS, PERCENT, GRAMS, CAPACITY = 5, 80, 10, 1024
 
@@ -25,39 +22,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep_good(docs, quality.learn(docs))
 
 
-def _mended_lines(docs: DataFrame):
-    """The texts that lose lines, and what joins them to their rows. Rows that share a doc_id but not
-    a text are documents of their own, in the order of id and text."""
-    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return remove_repeated_lines(docs).filter("n_removed > 0"), lambda d, m: d["doc_id"].eqNullSafe(m["doc_id"])
-    rows = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("given")).distinct().orderBy("doc_id", "given")
-                  .withColumn("row", F.monotonically_increasing_id()), "line-rows")
-    mended = remove_repeated_lines(rows, "row", "given").filter("n_removed > 0").withColumnRenamed("doc_id", "row")
-    return (rows.join(mended, "row").select("doc_id", "given", "text"),
-            lambda d, m: d["doc_id"].eqNullSafe(m["doc_id"]) & (F.coalesce(d["text"], F.lit("")) == m["given"]))
-
-
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier line matches; every document keeps its row."""
-    mended, same = _mended_lines(docs)
-    both = docs.join(mended, same(docs, mended), "left")
-    new = {"text": F.coalesce(mended["text"], docs["text"])}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.coalesce(F.length(mended["text"]).cast(docs.schema["n_chars"].dataType), docs["n_chars"])
-    return both.select(*(new.get(c, docs[f"`{c}`"]).alias(c) for c in docs.columns))
+    """Texts without the lines that an earlier line matches; texts of which nothing is left go."""
+    return drop_repeated_lines(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates."""
-    gone = near_duplicates(docs, words=WORDS, percent=PERCENT).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    return drop_near_duplicates(docs, WORDS, PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = find_benchmark(docs, benchmark, n=GRAMS).filter("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), GRAMS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
