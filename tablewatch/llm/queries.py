@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import quality
+from tablewatch.llm import order_minhash, prefix_trie, quality
 from tablewatch.llm.common import prepare
 from tablewatch.llm.decontaminate import find_benchmark
+from tablewatch.llm.lexical_search import search
 from tablewatch.llm.line_dedup import remove_repeated_lines
 from tablewatch.llm.minhash_dedup import near_duplicates
 from tablewatch.llm.neighbour_graph import near_duplicate_vectors
@@ -157,3 +158,66 @@ def op9(spark, sf_dir):
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
+#: CRC-32 over a conversation id's decimal digits, a table look-up a byte.
+TREE_SQL = """
+with recursive steps(b, i, c) as (select range, 0, range from range(256)
+    union all select b, i + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where i < 8),
+tab as (select list(c order by b) as t from steps where i = 8),
+own as (select conv_id, list(struct_pack(k := md5(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, ''))),
+                                         b := octet_length(encode(coalesce(text, '')))) order by turn nulls first) as turns
+        from conversations where conv_id is not null group by conv_id),
+numbered as (select conv_id, turns, conv_id - conv_id % 5 as base,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), x -> cast(ascii(x) as bigint))),
+                    (c, x) -> xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 9 as h from own, tab),
+seqs as (select n.conv_id, list_concat(coalesce(o.turns[1:n.h], []), n.turns[n.h + 1:]) as turns from numbered n left join own o on o.conv_id = n.base),
+keyed as (select conv_id, list_transform(turns, x -> x.k) as ks, list_transform(turns, x -> x.b) as bs from seqs),
+walk as (select conv_id, len(ks) as total, d, array_to_string(ks[1:d], ',') as path, case when d > 0 then array_to_string(ks[1:d - 1], ',') end as up,
+                case when d > 0 then bs[d] else 0 end as bytes
+         from (select *, unnest(range(0, len(ks) + 1)) as d from keyed)),
+nodes as (select path, d as depth, any_value(up) as up, any_value(bytes) as bytes, min(conv_id) as conv_id, count(*) as n,
+                 coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (total = d), '') as ends from walk group by path, d),
+kids as (select p.path, p.depth, count(c.path) as n_children from nodes p left join nodes c on c.up = p.path and c.depth = p.depth + 1 group by 1, 2),
+tops as (select n.path, n.depth, n.bytes, n.n, k.n_children, unnest(range(0, n.depth + 1)) as above, string_split(n.path, ',') as ks
+         from nodes n join kids k on k.path = n.path and k.depth = n.depth),
+sums as (select array_to_string(ks[1:above], ',') as path, above as depth, count(*) filter (n_children = 0) as n_leaves, sum((n - 1) * bytes) as saved
+         from tops group by 1, 2)
+"""
+
+
+@query("op11_conversation_prefix_trie", TREE_SQL + """
+select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n as n_convs, k.n_children, s.n_leaves,
+       cast(s.saved as bigint) as saved_tokens, sha256(n.ends) as ends_sha256
+from nodes n join kids k on k.path = n.path and k.depth = n.depth join sums s on s.path = n.path and s.depth = n.depth
+left join nodes p on p.path = n.up and p.depth = n.depth - 1
+""")
+def op11(spark, sf_dir):
+    convs = prefix_trie.conversations(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_tree(prefix_trie.rebuilt(convs, family=5, most=9))
+
+
+@query("op12_document_fingerprints")
+def op12(spark, sf_dir):
+    out = order_minhash.fingerprints(read(spark, sf_dir, "documents"), k=2, size=2, points=64, third=3)
+    return out.select("doc_id", "n_chars", sha256_of("edited").alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+TERMS_SQL = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+@query("op13_ranked_lexical_search", rf"""
+with dt as (select doc_id, unnest(regexp_extract_all({FOLDED_SQL}, {TERMS_SQL})) as term from documents),
+n as (select doc_id, count(*) as n from dt group by 1),
+al as (select count(*) as n_all, cast(sum(n) as bigint) as len_all from n),
+m as (select doc_id, 100 - 90 + ((90 * n * n_all) // len_all) as m from n, al),
+it as (select distinct item_id, unnest(regexp_extract_all({FOLDED_SQL}, {TERMS_SQL})) as term from benchmark),
+tf as (select doc_id, term, count(*) as tf from dt where term in (select term from it) group by 1, 2),
+w as (select term, cast(floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1))) as bigint) as w from tf, al group by term, n_all),
+sc as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+       from it join tf using (term) join w using (term) join m using (doc_id) group by 1, 2),
+rk as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from sc where score > 0)
+select * from rk where rank <= 10
+""")
+def op13(spark, sf_dir):
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)

@@ -168,3 +168,105 @@ def pieces_of(docs, encode, capacity=1024, end_id=2):
         for k, (s, e) in enumerate(zip(starts, [*starts[1:], len(ids)])):
             out[i, k] = (s, e - s, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[s:e])))
     return out
+
+
+def signature(text, k=2, size=2, points=64, cut=8, bits=26):
+    """Order MinHash entries, straight from the definition: a full sort of the ring for every point."""
+    import xxhash
+    symbols = re.findall(r"[^ \t\n\x0b\f\r]{1,%d}" % cut, text or "")
+    if not symbols:
+        return None
+    top = (1 << 64) - (1 << bits)
+    seen, ring = Counter(), []
+    for i in range(max(len(symbols) - k, 0) + 1):
+        h = 42
+        for s in symbols[i:i + k]:
+            h = xxhash.xxh64_intdigest(s.encode(), h)
+        h &= top
+        signed = (h >> bits) - (1 << 64 - bits) * (h >> 63)
+        again = xxhash.xxh64_intdigest((signed % (1 << 64)).to_bytes(8, "little"), 42)
+        ring.append((xxhash.xxh64_intdigest(seen[h].to_bytes(4, "little"), again) & top, i))
+        seen[h] += 1
+    out = []
+    for b in range(points):
+        mark = (-(1 << 63) + b * ((1 << 64) // points)) % (1 << 64)
+        after = sorted(ring, key=lambda x: ((x[0] + x[1] - mark) % (1 << 64)))[:size]
+        h = 42
+        for value, _ in sorted(after, key=lambda x: x[1]):
+            h = xxhash.xxh64_intdigest((value >> bits).to_bytes(8, "little"), h)
+        out.append(h >> 32)
+    return out
+
+
+def fingerprints(rows, **kw):
+    """rows: [(id, text)]. (n_chars, sha of the edited text, fingerprints, likeness to the edited and to the next text)."""
+    def like(a, b):
+        return 1.0 if a is None and b is None else 0.0 if a is None or b is None else sum(x == y for x, y in zip(a, b)) / len(a)
+
+    def shown(a):
+        return "".join(f"{x:08x}" for x in a or ())
+
+    rows = sorted(rows, reverse=True)
+    out = {}
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        text, after = text or "", after or ""
+        n = len(text) // 3
+        edited = text[:len(text) - n] + after[:n]
+        a, b, c = (signature(t, **kw) for t in (text, edited, after))
+        out[i] = (len(text), sha(edited), shown(a), shown(b), like(a, b), like(a, c))
+    return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, top=10):
+    """docs: {id: text}, items: [(id, text)]. {(item, rank): (doc, score)}."""
+    import math
+    terms = {i: Counter(TERM.findall((t or "").translate(FOLD))) for i, t in docs.items()}
+    lengths = {i: sum(c.values()) for i, c in terms.items()}
+    n_all, total = sum(n > 0 for n in lengths.values()), sum(lengths.values())
+    df = Counter(t for c in terms.values() for t in c)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i] |= set(TERM.findall((t or "").translate(FOLD)))
+    out = {}
+    for item, want in wanted.items():
+        scores = []
+        for i, c in terms.items():
+            m = 10 + (90 * lengths[i] * n_all) // total if total else 0
+            score = sum(math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[t] + 1))) * ((10 ** 9 * c[t]) // (1000 * c[t] + 8 * m)) for t in want if c[t])
+            if score > 0:
+                scores.append((-score, i))
+        for r, (s, i) in enumerate(sorted(scores)[:top], 1):
+            out[item, r] = (i, -s)
+    return out
+
+
+def rebuilt(rows):
+    """rows: [(conv, turn, role, text)]. {conv: [(role, text)]} after the exchange of first turns."""
+    own = defaultdict(list)
+    for conv, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own[conv].append((role or "", text or ""))
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rest = c % 5 if c >= 0 else -(-c % 5)  # as in SQL, of the sign of c
+        out[c] = own.get(c - rest, [])[:h] + turns[h:]
+    return out
+
+
+def tree(convs):
+    """{(smallest member, depth): row} of every distinct start of the conversations {id: [turn]}."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    kids = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+    return {(min(m), len(p)): (min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p],
+                               sha(",".join(map(str, sorted(c for c in m if len(convs[c]) == len(p)))))) for p, m in members.items()}

@@ -402,7 +402,7 @@ def test_repeated_ids(spark):
 
 def test_registered_queries(spark, small):
     q = {k: f for k, f in QUERIES.items()}
-    assert [k.split("_")[0] for k in q] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in q] == [f"op{i}" for i in range(1, 14)]
     assert result(q["op3_suffix_array_dedup"](spark, SMALL), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeated_bytes(small)
     assert result(q["op7_minhash_near_dedup"](spark, SMALL), "n_shingles", "component_id") == brute.near_duplicates(small)
     assert result(q["op8_line_dedup"](spark, SMALL), "n_lines", "n_removed", "kept_sha256") == brute.repeated_lines(small)
