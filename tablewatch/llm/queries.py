@@ -169,10 +169,10 @@ own as (select conv_id, list(struct_pack(k := md5(concat(octet_length(encode(coa
                                          b := octet_length(encode(coalesce(text, '')))) order by turn nulls first) as turns
         from conversations where conv_id is not null group by conv_id),
 numbered as (select conv_id, turns, conv_id - conv_id % 5 as base,
-    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), x -> cast(ascii(x) as bigint))),
-                    (c, x) -> xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 9 as h from own, tab),
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+                    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 9 as h from own, tab),
 seqs as (select n.conv_id, list_concat(coalesce(o.turns[1:n.h], []), n.turns[n.h + 1:]) as turns from numbered n left join own o on o.conv_id = n.base),
-keyed as (select conv_id, list_transform(turns, x -> x.k) as ks, list_transform(turns, x -> x.b) as bs from seqs),
+keyed as (select conv_id, list_transform(turns, lambda x: x.k) as ks, list_transform(turns, lambda x: x.b) as bs from seqs),
 walk as (select conv_id, len(ks) as total, d, array_to_string(ks[1:d], ',') as path, case when d > 0 then array_to_string(ks[1:d - 1], ',') end as up,
                 case when d > 0 then bs[d] else 0 end as bytes
          from (select *, unnest(range(0, len(ks) + 1)) as d from keyed)),
