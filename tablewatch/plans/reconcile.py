@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-
+import uuid
 
 from pyspark.sql import functions as F
 
 from tablewatch.functions.windows import with_prev_value
 from tablewatch.operators import reconcile as r
 from tablewatch.plans.common import query, t
+from tablewatch.session import scratch_path
 from tablewatch.sources.catalog import schema_catalog
 
 KEY = ["o_orderkey"]
@@ -82,39 +83,55 @@ def _true_count(spark, d):
     return r.rec_true_count(*_sides(spark, d), F.col("o_orderstatus") == "F", "status_f")
 
 
-def _checksum_sql(cols):
-    row = " || ".join(CANON[c] for c in cols)
-    side = (lambda tb: f"(select count(*) as rows, count(distinct k) as distinct_rows, coalesce(bit_xor(k), 0) "
-            f"as checksum from (select {k60(row)} as k from {tb}))")
-    return f"""
-select s.rows as src_rows, s.distinct_rows as src_distinct_rows, s.checksum as src_checksum,
-  d.rows as dst_rows, d.distinct_rows as dst_distinct_rows, d.checksum as dst_checksum,
-  s.rows - s.distinct_rows as src_dup_rows, d.rows - d.distinct_rows as dst_dup_rows,
-  case when s.rows = d.rows and s.distinct_rows = d.distinct_rows and s.checksum = d.checksum
-       then 'SUCCEEDED' else 'FAILED' end as verdict
-from {side('orders')} s, {side('orders_dst')} d"""
+def k60b(expr: str) -> str:
+    return f"('0x' || substr(md5({expr}), 16, 15))::bigint"
 
 
-@query("rec_row_checksum", _checksum_sql(["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]))
-def _row_checksum(spark, d):
-    return r.rec_row_checksum(*_sides(spark, d), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+def _sums(row: str, table: str) -> str:
+    """Multiset sums of one side, and the first of them as it is shown."""
+    return (f"(select *, cast(sum1 % {r.SHOWN}::hugeint as bigint) as checksum from (select count(*) as rows, "
+            f"coalesce(sum(cast({k60(row)} as hugeint)), 0::hugeint) as sum1, coalesce(sum(cast({k60b(row)} as hugeint)), 0::hugeint) as sum2 from {table}))")
+
+
+SAME_SQL = "s.rows = d.rows and s.sum1 = d.sum1 and s.sum2 = d.sum2"
 
 
-def _fingerprint_sql():
-    cols = sorted(ALL_COLS)
+def _checksum_sql(cols):
     row = " || ".join(CANON[c] for c in cols)
-    side = (lambda tb: f"(select count(*) as rows, coalesce(bit_xor({k60(row)}), 0) as checksum from {tb})")
     return f"""
 select s.rows as src_rows, s.checksum as src_checksum, d.rows as dst_rows, d.checksum as dst_checksum,
-  case when s.rows = d.rows and s.checksum = d.checksum then 'SUCCEEDED' else 'FAILED' end as verdict
-from {side('orders')} s, {side('orders_dst')} d"""
+  case when {SAME_SQL} then 'SUCCEEDED' else 'FAILED' end as verdict
+from {_sums(row, 'orders')} s, {_sums(row, 'orders_dst')} d"""
+
 
+CHECKED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
 
-@query("rec_table_fingerprint", _fingerprint_sql())
+
+@query("rec_row_checksum", _checksum_sql(CHECKED))
+def _row_checksum(spark, d):
+    return r.rec_row_checksum(*_sides(spark, d), CHECKED)
+
+
+@query("rec_table_fingerprint", _checksum_sql(sorted(ALL_COLS)))
 def _table_fingerprint(spark, d):
     return r.rec_table_fingerprint(*_sides(spark, d))
 
 
+LEAF = 500
+
+
+@query("rec_differing_ranges", f"""
+with b as (select least((select min(o_orderkey) from orders), (select min(o_orderkey) from orders_dst)) as low,
+                  greatest((select max(o_orderkey) from orders), (select max(o_orderkey) from orders_dst)) as high),
+s as (select (o_orderkey - low) // {LEAF} as at, count(*) as n, sum(cast({k60(" || ".join(CANON[c] for c in CHECKED))} as hugeint)) as f from orders, b group by 1),
+d as (select (o_orderkey - low) // {LEAF} as at, count(*) as n, sum(cast({k60(" || ".join(CANON[c] for c in CHECKED))} as hugeint)) as f from orders_dst, b group by 1)
+select low + coalesce(s.at, d.at) * {LEAF} as low, least(high, low + (coalesce(s.at, d.at) + 1) * {LEAF} - 1) as high,
+  coalesce(s.n, 0) as src_rows, coalesce(d.n, 0) as dst_rows
+from s full join d on s.at = d.at, b where s.n is distinct from d.n or s.f is distinct from d.f""")
+def _differing_ranges(spark, d):
+    return r.rec_differing_ranges(*_sides(spark, d), "o_orderkey", CHECKED, fanout=16, leaf=LEAF)
+
+
 SPARK_TYPE_SQL = ("case lower(column_type) when 'varchar' then 'string' when 'integer' then 'int' "
                   "when 'timestamp' then 'timestamp_ntz' else lower(column_type) end")
 
@@ -231,18 +248,60 @@ def _mapped(spark, d):
 
 
 @query("rec_cursor_drift", f"""
-with s as (select count(*) as n, max(o_orderdate) as mx from orders where o_orderdate > timestamp '{CURSOR_SEED}'),
-d as (select count(*) as n, max(o_orderdate) as mx from orders_dst where o_orderdate > timestamp '{CURSOR_SEED}')
+with s as (select count(*) as n, max(o_orderdate) as mx from orders where o_orderdate >= timestamp '{CURSOR_SEED}'),
+d as (select count(*) as n, max(o_orderdate) as mx from orders_dst where o_orderdate >= timestamp '{CURSOR_SEED}')
 select 'orders' as table_name, timestamp '{CURSOR_SEED}' as cached_cursor, s.n as src_new_rows, d.n as dst_new_rows,
   d.n - s.n as count_drift, cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s,
   case when abs(d.n - s.n) <> 0 then 'FAILED' else 'SUCCEEDED' end as count_verdict,
   case when coalesce(abs(floor(epoch(d.mx)) - floor(epoch(s.mx))), 0) > 60 then 'FAILED' else 'SUCCEEDED' end as max_verdict,
-  case when s.mx is null or d.mx is null then timestamp '{CURSOR_SEED}' else least(s.mx, d.mx) end as new_cursor
+  case when s.mx is null or d.mx is null then timestamp '{CURSOR_SEED}' else greatest(timestamp '{CURSOR_SEED}', least(s.mx, d.mx)) end as new_cursor
 from s, d""")
 def _cursor_drift(spark, d):
     return r.rec_cursor_drift(*_sides(spark, d), "o_orderdate", CURSOR_SEED, "orders")
 
 
+# Three runs: each sees the orders before its cut; a part of each side arrives one run late.
+CUTS = ["2001-03-01 00:00:00", "2001-05-01 00:00:00", "2001-07-01 00:00:00"]
+OVERLAP_S = 20 * 86400
+LATE = {"orders": (7, 3), "orders_dst": (5, 2)}
+
+
+def _visible_sql(table: str, run: int) -> str:
+    n, rest = LATE[table]
+    before = f"o_orderdate < timestamp '{CUTS[run - 1]}'" if run else "false"
+    return f"o_orderdate < timestamp '{CUTS[run]}' and (o_orderkey % {n} <> {rest} or {before})"
+
+
+def _cursor_runs_sql() -> str:
+    parts = [f"c0 as (select timestamp '{CURSOR_SEED}' as c)"]
+    for run in range(3):
+        for name, table in (("s", "orders"), ("d", "orders_dst")):
+            seen = f"({_visible_sql(table, run - 1)}) and o_orderdate <= c" if run else "false"
+            parts.append(f"{name}{run} as (select count(*) as n, max(o_orderdate) as mx from {table}, c{run} where ({_visible_sql(table, run)}) "
+                         f"and o_orderdate >= c - interval {OVERLAP_S} second and not ({seen}))")
+        parts.append(f"c{run + 1} as (select case when s.mx is null or d.mx is null then c else greatest(c, least(s.mx, d.mx)) end as c "
+                     f"from s{run} s, d{run} d, c{run})")
+    rows = [f"""select 'orders' as table_name, o.c as cached_cursor, s.n as src_new_rows, d.n as dst_new_rows, d.n - s.n as count_drift,
+  cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s,
+  case when d.n <> s.n then 'FAILED' else 'SUCCEEDED' end as count_verdict,
+  case when (s.mx is null) <> (d.mx is null) or coalesce(abs(floor(epoch(d.mx)) - floor(epoch(s.mx))), 0) > 60 then 'FAILED' else 'SUCCEEDED' end as max_verdict,
+  n.c as new_cursor, cast({run} as bigint) as run from s{run} s, d{run} d, c{run} o, c{run + 1} n""" for run in range(3)]
+    return f"with {', '.join(parts)}\n" + "\nunion all ".join(rows)
+
+
+@query("rec_cursor_runs", _cursor_runs_sql())
+def _cursor_runs(spark, d):
+    path = scratch_path(spark, f"cursor/{uuid.uuid4().hex}")
+    src, dst = _sides(spark, d)
+    rows = [r.reconcile_run(src.where(_visible_spark("orders", run)), dst.where(_visible_spark("orders_dst", run)), "o_orderdate", KEY,
+                            "orders", path, run, CURSOR_SEED, OVERLAP_S) for run in range(3)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def _visible_spark(table: str, run: int):
+    return F.expr(_visible_sql(table, run).replace("timestamp '", "timestamp_ntz '"))
+
+
 @query("rec_monotonic_check", """
 with x as (select o_custkey, o_orderdate,
              lag(o_orderdate) over (partition by o_custkey order by o_orderkey) as prev_value from orders)
@@ -265,13 +324,8 @@ def _suite_pairs(spark, d):
 
 def _suite_checksum_sql(tb, cols):
     row = " || ".join(canon(f"cast({c} as varchar)") for c in cols)
-    return (f"select '{tb}' as table_name, 'checksum' as check_name, s.c as src_value, d.c as dst_value, "
-            f"d.n - s.n as diff, case when s.n = d.n and s.dn = d.dn and s.c = d.c then 'SUCCEEDED' "
-            f"else 'FAILED' end as verdict from "
-            f"(select count(*) as n, count(distinct k) as dn, coalesce(bit_xor(k), 0) as c "
-            f"from (select {k60(row)} as k from {tb})) s, "
-            f"(select count(*) as n, count(distinct k) as dn, coalesce(bit_xor(k), 0) as c "
-            f"from (select {k60(row)} as k from {tb})) d")
+    return (f"select '{tb}' as table_name, 'checksum' as check_name, s.checksum as src_value, d.checksum as dst_value, "
+            f"d.rows - s.rows as diff, case when {SAME_SQL} then 'SUCCEEDED' else 'FAILED' end as verdict from {_sums(row, tb)} s, {_sums(row, tb)} d")
 
 
 def _suite_sql():

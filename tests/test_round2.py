@@ -47,7 +47,8 @@ def test_cursor_never_passes_undelivered_rows(spark, tmp_path):
     second = run("a", [2, 3, 4], [2])
     assert (second["src_new_rows"], second["new_cursor"]) == (3, day(2))
     third = run("a", [2, 3, 4], [2, 3, 4])
-    assert (third["src_new_rows"], third["dst_new_rows"], third["new_cursor"]) == (2, 2, day(4))
+    # Without the keys a run has seen (reconcile_run keeps them), rows at the cursor are read again.
+    assert (third["src_new_rows"], third["dst_new_rows"], third["new_cursor"]) == (3, 3, day(4))
     assert reconcile.load_cursor(spark, state, "b", seed) == "2024-01-02 00:00:00"
     assert reconcile.load_cursor(spark, state, "c", seed) == seed
 
