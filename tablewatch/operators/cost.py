@@ -9,6 +9,7 @@ from its size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,6 +20,8 @@ from tablewatch.functions.timeutil import as_of_text, date_lit, ts_lit
 
 FINDING_COLUMNS = ["run_date", "check_id", "check_name", "severity", "resource_type", "resource_id",
                    "resource_name", "owner", "workspace_id", "detail", "est_monthly_saving_usd"]
+KINDS = {"run_date": "date", "est_monthly_saving_usd": "double"}
+FINDING_SCHEMA = ", ".join(f"{c} {KINDS.get(c, 'string')}" for c in FINDING_COLUMNS)
 
 
 @dataclass
@@ -221,7 +224,9 @@ def c08_unused_tables(tables: DataFrame, reads: DataFrame, as_of, cfg: CostConfi
         "managed table with no read in 90d - archive or drop", F.lit(None)))
 
 
-def c09_job_failures(pu: DataFrame, runs: DataFrame, as_of, cfg: CostConfig) -> DataFrame:
+def c09_job_failures(pu: DataFrame, runs: DataFrame, as_of, cfg: CostConfig, names: DataFrame | None = None) -> DataFrame:
+    """Jobs with failed runs. ``names (job_id, job_name, change_time)`` gives the name a job had last before
+    ``as_of``; without it, or for a job that is not there, the id stands in."""
     r = (runs.where(_since("period_start_time", as_of, cfg.lookback))
          .groupBy("job_id", "run_id", "workspace_id")
          .agg(F.max("result_state").alias("state"),
@@ -241,8 +246,13 @@ def c09_job_failures(pu: DataFrame, runs: DataFrame, as_of, cfg: CostConfig) ->
                       F.lit(" compute-hours wasted"))
     saving = (F.coalesce(F.col("cost"), F.lit(0)).cast("double") * F.col("failed_sec")
               / F.when(F.col("all_sec") != 0, F.col("all_sec")))
+    name = F.col("job_id").cast("string")
+    if names is not None:
+        last = (names.where(F.col("change_time") < ts_lit(as_of)).groupBy("job_id")
+                .agg(F.max(F.struct("change_time", "job_name"))["job_name"].alias("job_name")))
+        j, name = j.join(last, "job_id", "left"), F.coalesce("job_name", name)
     return j.select(*finding(as_of, "C09_job_failures", "Job failures burning compute", "medium", "job",
-                             F.col("job_id"), F.col("job_id"), F.lit(None), F.col("workspace_id"), detail,
+                             F.col("job_id"), name, F.lit(None), F.col("workspace_id"), detail,
                              saving.cast("decimal(18,2)").cast("double")))
 
 
@@ -390,18 +400,112 @@ def cost_anomaly(pu: DataFrame, history: int = 7, k: float = 3.0) -> DataFrame:
                     z.cast("decimal(18,2)").cast("double").alias("z_score")))
 
 
-def run_checks(checks: dict, as_of) -> DataFrame:
-    """Union of check frames in the fixed finding schema. ``checks`` maps id -> zero-arg builder;
-    a builder that fails to analyse (missing table or column) is skipped, the rest run."""
-    parts = []
-    for _, build in checks.items():
-        try:
-            df = build()
-            df.schema  # noqa: B018 - force analysis now
-            parts.append(df)
-        except Exception:  # noqa: BLE001
-            continue
-    return reduce(lambda a, b: a.unionByName(b), parts)
+# --- the audit: checks with declared needs, run per day -----------------------------------
+
+TAGS = "map<string,string>"
+
+
+def usage_cube(pu: DataFrame) -> DataFrame:
+    """Priced usage summed over everything no check looks at: a row for each time, workspace, SKU, job, cluster,
+    warehouse and pair of cost tags. Sums are exact decimals, so checks over it equal checks over all rows."""
+    kept = F.map_filter("custom_tags", lambda k, v: k.isin("cost_centre", "team"))
+    md = [F.col(f"usage_metadata.{c}").alias(c) for c in ("cluster_id", "job_id", "warehouse_id")]
+    cube = (pu.select("usage_date", "workspace_id", "sku_name", *md, F.to_json(kept).alias("tags"), "cost_usd")
+            .groupBy("usage_date", "workspace_id", "sku_name", "cluster_id", "job_id", "warehouse_id", "tags").agg(F.sum("cost_usd").alias("cost_usd")))
+    return cube.select("usage_date", "workspace_id", "sku_name", F.struct("cluster_id", "job_id", "warehouse_id").alias("usage_metadata"),
+                       F.from_json("tags", TAGS).alias("custom_tags"), "cost_usd")
+
+
+@dataclass(frozen=True)
+class Day:
+    """What a check is given: the tables, priced usage in the lookback of its day, and the settings."""
+    tables: dict[str, DataFrame]
+    priced: DataFrame | None
+    as_of: str
+    cfg: CostConfig
+
+
+@dataclass(frozen=True)
+class Check:
+    """A check and what it needs: columns by table. ``wants`` are tables it can do without."""
+    check_id: str
+    needs: dict[str, tuple[str, ...]]
+    build: Callable[[Day], DataFrame]
+    wants: tuple[str, ...] = ()
+
+
+USAGE = {"usage": ("usage_date", "workspace_id", "sku_name", "usage_quantity", "usage_metadata", "custom_tags"),
+         "list_prices": ("sku_name", "currency_code", "price_end_time", "pricing")}
+HISTORY = ("workspace_id", "start_time", "statement_text", "statement_type", "execution_status", "total_duration_ms", "read_bytes")
+CLUSTERS = ("cluster_id", "cluster_name", "owned_by", "workspace_id", "change_time", "delete_time")
+
+CHECKS = [
+    Check("C01_all_purpose_for_jobs", USAGE, lambda d: c01_all_purpose_jobs(d.priced, d.as_of, d.cfg)),
+    Check("C02_idle_clusters", USAGE | {"node_timeline": ("cluster_id", "start_time", "driver", "cpu_user_percent", "cpu_system_percent", "mem_used_percent")},
+          lambda d: c02_idle_clusters(d.priced, d.tables["node_timeline"], d.as_of, d.cfg)),
+    Check("C03_cluster_config", {"clusters": (*CLUSTERS, "cluster_source", "auto_termination_minutes", "worker_count", "min_autoscale_workers")},
+          lambda d: c03_cluster_config(d.tables["clusters"], d.as_of, d.cfg)),
+    Check("C04_photon_review", USAGE, lambda d: c04_photon_review(d.priced, d.as_of, d.cfg)),
+    Check("C05_expensive_queries", {"query_history": HISTORY}, lambda d: c05_repeat_queries(d.tables["query_history"], d.as_of, d.cfg)),
+    Check("C06_full_scans", {"query_history": (*HISTORY, "read_files", "pruned_files")}, lambda d: c06_full_scans(d.tables["query_history"], d.as_of, d.cfg)),
+    Check("C07_warehouse_rightsizing", USAGE | {"query_history": ("start_time", "total_duration_ms", "compute")},
+          lambda d: c07_warehouse_rightsizing(d.priced, d.tables["query_history"], d.as_of, d.cfg)),
+    Check("C08_storage_sprawl", {"managed_tables": ("table_id", "table_name", "table_type"), "table_reads": ("table_id", "read_at")},
+          lambda d: c08_unused_tables(d.tables["managed_tables"], d.tables["table_reads"], d.as_of, d.cfg)),
+    Check("C09_job_failures", USAGE | {"job_run_timeline": ("job_id", "run_id", "workspace_id", "result_state", "period_start_time", "period_end_time")},
+          lambda d: c09_job_failures(d.priced, d.tables["job_run_timeline"], d.as_of, d.cfg, d.tables.get("job_names")), ("job_names",)),
+    Check("C10_pricing_leakage", USAGE | {"clusters": (*CLUSTERS, "aws_attributes", "azure_attributes", "gcp_attributes")},
+          lambda d: c10_on_demand(d.priced, d.tables["clusters"], d.as_of, d.cfg)),
+    Check("C11_tag_hygiene", USAGE, lambda d: c11_tag_hygiene(d.priced, d.as_of, d.cfg)),
+]
+
+
+def planned_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> list[tuple[Check, str | None]]:
+    """Each check with the reason why it cannot run (None: it can): the first table or column it needs and
+    does not find. Only schemas are looked at; an error while a check runs is an error of the audit."""
+    out = []
+    for check in checks or CHECKS:
+        reason = None
+        for table, columns in check.needs.items():
+            if table not in tables:
+                reason = f"no table {table}"
+            elif lost := [c for c in columns if c not in tables[table].columns]:
+                reason = f"no column {lost[0]} in {table}"
+            if reason:
+                break
+        out.append((check, reason))
+    return out
+
+
+def audit_checks(spark, tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
+    """``(check_id, status, reason)`` of every check."""
+    rows = [(c.check_id, "skipped" if reason else "ran", reason) for c, reason in planned_checks(tables, checks)]
+    return spark.createDataFrame(rows, "check_id string, status string, reason string")
+
+
+def run_audit(tables: dict[str, DataFrame], days: list[str], cfg: CostConfig, path: str, checks: list[Check] | None = None) -> DataFrame:
+    """Runs every check whose needs are met for each day and leaves the findings under ``path``, a folder for
+    each day. Usage is read, priced and summed once for all days and checks. A day that is audited again
+    replaces its own findings, also if it has none any more; other days stay. Returns the findings of all
+    days that are stored."""
+    spark = next(iter(tables.values())).sparkSession
+    able = [c for c, reason in planned_checks(tables, checks) if reason is None]
+    cube = None
+    if any("usage" in c.needs for c in able):
+        since, until = min(days), max(days)
+        prices = unit_prices(tables["list_prices"])
+        usage = tables["usage"].where((F.col("usage_date") >= F.date_sub(date_lit(since), cfg.lookback).cast("timestamp_ntz"))
+                                      & (F.col("usage_date") < ts_lit(until)))
+        cube = usage_cube(usage.join(prices, "sku_name", "left").withColumn(
+            "cost_usd", F.col("usage_quantity").cast("decimal(18,2)") * F.coalesce("unit_price", F.lit(0)).cast("decimal(18,4)"))).checkpoint(eager=True)
+    for day in days:
+        priced = cube.where(_since("usage_date", day, cfg.lookback)) if cube is not None else None
+        parts = [c.build(Day(tables, priced, day, cfg)) for c in able]
+        none = spark.createDataFrame([], FINDING_SCHEMA)
+        # A folder of the day's own, replaced as a whole: an empty day leaves none of its old rows.
+        reduce(lambda a, b: a.unionByName(b), parts, none).drop("run_date").write.mode("overwrite").parquet(f"{path}/run_date={day[:10]}")
+    stored = spark.read.schema(FINDING_SCHEMA).parquet(path)
+    return stored.select(*FINDING_COLUMNS)
 
 
 def audit_dates(as_of, days: list[int]) -> list[str]:

@@ -128,6 +128,10 @@ select o_custkey % 60 as job_id, o_orderkey as run_id, cast(o_custkey % 4 as var
   o_orderdate as period_start_time,
   o_orderdate + to_seconds(cast(floor(o_totalprice / 10) as bigint)) as period_end_time
 from orders""",
+    "job_names": """
+select c_custkey as job_id, c_name as job_name, timestamp '2000-01-01 00:00:00' as change_time from customer
+union all
+select c_custkey, concat(c_name, ' v2'), timestamp '2001-06-01 00:00:00' from customer where c_custkey % 3 = 0""",
     "access_log": """
 select event_id as access_id, ts as event_time,
   [{'name': concat('tbl_', cast(user_id % 40 as varchar))},
@@ -363,6 +367,14 @@ def job_run_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("period_end_time"))
 
 
+def job_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of jobs over time; every third was renamed."""
+    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("job_id"), F.col("c_name").alias("job_name"))
+    at = (lambda x: F.lit(x).cast("timestamp_ntz").alias("change_time"))
+    renamed = c.where(F.col("job_id") % 3 == 0).select("job_id", F.concat("job_name", F.lit(" v2")).alias("job_name"), at("2001-06-01"))
+    return c.select("*", at("2000-01-01")).unionByName(renamed)
+
+
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events")
     u = F.col("user_id")
@@ -378,7 +390,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "task_runs": task_runs, "query_history": query_history, "node_timeline": node_timeline,
     "clusters": clusters, "table_reads": table_reads, "managed_tables": managed_tables,
     "model_edges": model_edges, "model_sources": model_sources, "job_run_timeline": job_run_timeline,
-    "access_log": access_log,
+    "access_log": access_log, "job_names": job_names,
 }
 
 
