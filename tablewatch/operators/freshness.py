@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewatch.functions.graph import reach
+from tablewatch.functions.graph import least_below, reach
 from tablewatch.functions.timeutil import epoch_seconds, period_seconds, ts_lit
 
 # Load-time column names, strongest first; the last two are weak signals.
@@ -122,11 +122,25 @@ def build_gate(models: DataFrame, upstream: DataFrame, as_of, count: int, period
     return g.select("model_id", elapsed.alias("elapsed"), "any_fresh", "all_fresh", (elapsed & gate).alias("rebuild"))
 
 
-def build_propagate(edges: DataFrame, sources: DataFrame, as_of, stale_hours: int = 24) -> DataFrame:
-    """Models below a stale source are skipped: stale sources seed a downstream walk.
+def build_propagate(edges: DataFrame, sources: DataFrame, as_of, stale_hours: int = 24,
+                    expectations: DataFrame | None = None) -> DataFrame:
+    """What flows along the model graph, both ways: (model_id, depth, expected_s), a row for each model that
+    either reaches.
 
-    ``sources``: (source_id, model_id, loaded_at) — the model fed by each source.
-    Returns (model_id, depth) for every skipped model (depth 0 = fed directly)."""
+    Down: models below a stale source are skipped; ``depth`` is the distance from the nearest one (0 = fed
+    directly, null = not skipped). ``sources``: (source_id, model_id, loaded_at), the model fed by each source.
+    Up: a model must be as fresh as the strictest model built from it expects; ``expected_s`` is the
+    smallest expectation at or below it. ``expectations``: (model_id, expected_s)."""
+    down = stale_below(edges, sources, as_of, stale_hours)
+    if expectations is None:
+        return down.withColumn("expected_s", F.lit(None).cast("bigint"))
+    up = least_below(edges, expectations.select(F.col("model_id").alias("node"), F.col("expected_s").cast("bigint").alias("value")))
+    return (down.join(up.select(F.col("node").alias("model_id"), F.col("value").alias("expected_s")), "model_id", "full_outer")
+            .select("model_id", "depth", "expected_s"))
+
+
+def stale_below(edges: DataFrame, sources: DataFrame, as_of, stale_hours: int = 24) -> DataFrame:
+    """(model_id, depth) of every model at or below a source that was not loaded in the last ``stale_hours``."""
     stale = sources.where(F.col("loaded_at") < ts_lit(as_of) - F.expr(f"INTERVAL {int(stale_hours)} HOURS"))
     seeds = stale.select(F.col("model_id").alias("node"))
     return reach(edges, seeds).select(F.col("node").alias("model_id"), "depth")

@@ -118,14 +118,23 @@ def _gate(spark, d):
     return fr.build_gate(models, up, A, 12, "hour", "any")
 
 
+EXPECT_SQL = "select child as model_id, cast((child % 48 + 1) * 3600 as bigint) as expected_s from (select distinct child from model_edges) where child % 7 = 0"
+
+
 @query("build_propagate", f"""
 with recursive r(node, depth) as (
   select distinct model_id, 0 from model_sources where loaded_at < timestamp '{A}' - interval 24 hour
   union
-  select e.child, r.depth + 1 from r join model_edges e on e.parent = r.node)
-select node as model_id, min(depth) as depth from r group by 1""")
+  select e.child, r.depth + 1 from r join model_edges e on e.parent = r.node),
+x(node, expected_s) as ({EXPECT_SQL} union select e.parent, x.expected_s from x join model_edges e on e.child = x.node),
+down as (select node, min(depth) as depth from r group by 1),
+up as (select node, min(expected_s) as expected_s from x group by 1)
+select coalesce(down.node, up.node) as model_id, depth, expected_s from down full join up on down.node = up.node""")
 def _propagate(spark, d):
-    return fr.build_propagate(t(spark, d, "model_edges"), t(spark, d, "model_sources"), A, 24)
+    e = t(spark, d, "model_edges")
+    expected = (e.select(F.col("child").alias("model_id")).distinct().where("model_id % 7 = 0")
+                .withColumn("expected_s", ((F.col("model_id") % 48 + 1) * 3600).cast("bigint")))
+    return fr.build_propagate(e, t(spark, d, "model_sources"), A, 24, expected)
 
 
 @query("usage_reads", f"""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tablewatch job relies on. UTC makes timestamp_ntz <-> epoch
 # conversions agree with other engines; AQE coalesces small shuffles and splits
@@ -65,3 +66,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: computed once, read by column, and any executor can
+    read it again. Cheaper than ``checkpoint()``, which serialises rows."""
+    path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from tablewatch.functions.graph import connected
+from tablewatch.functions.graph import connected, least_below
 from tablewatch.operators import runs
 from tablewatch.operators.freshness import build_propagate
 
@@ -51,3 +51,12 @@ def test_equal_failures_stay_and_numbers_are_no_status_codes(spark):
     assert out == [(1, "TIMEOUT", "rerun_task", "confirm")] * 2 + [
         (2, "UNKNOWN", "investigate", "escalate"), (3, "AUTH_FAILURE", "update_connection_credentials", "escalate"),
         (4, "SCRIPT_ERROR", "fix_script", "confirm"), (5, "SCRIPT_ERROR", "investigate", "escalate")]
+
+
+def test_least_below(spark):
+    """The strictest value climbs to all ancestors, over a cycle too."""
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 2), (1, 4), (4, 5), (6, 5), (7, 8)], "parent long, child long")
+    values = spark.createDataFrame([(3, 30), (5, 10), (4, 50), (5, 20), (8, None)], "node long, value long")
+    got = {r["node"]: r["value"] for r in least_below(edges, values).collect()}
+    assert got == {1: 10, 2: 30, 3: 30, 4: 10, 5: 10, 6: 10}
+    assert least_below(edges, values.limit(0)).count() == 0
