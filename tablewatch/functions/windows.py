@@ -13,6 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewatch.session import written
+
+RANGE = "__range"
+
+
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` with ``RANGE``, the number of a range in the order of the columns. Ranges hold about as many
+    rows each, whatever the keys: a key with a third of all rows is in a third of the ranges."""
+    return written(df.repartitionByRange(*order).withColumn(RANGE, F.spark_partition_id()), "ranges")
+
 
 def with_prev_value(df: DataFrame, keys: list[str], order_col: str, value_col: str, bucket: Column,
                     out: str = "prev_value") -> DataFrame:
@@ -39,7 +49,3 @@ def with_prev_running_max(df: DataFrame, keys: list[str], order_col: str, value_
     carry = bmax.withColumn("__prior", F.max("__bm").over(wl)).drop("__bm")
     x = x.join(carry, [*keys, "__b"], "left")
     return x.withColumn(out, F.greatest("__pm", "__prior")).drop("__b", "__pm", "__prior")
-
-
-def day_bucket(ts_col: str) -> Column:
-    return F.to_date(F.col(ts_col))

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.graph import Known, layers
 from tablewatch.functions.timeutil import epoch_seconds, ts_lit
-from tablewatch.functions.windows import day_bucket, with_prev_running_max, with_prev_value
+from tablewatch.functions.windows import RANGE, in_ranges, with_prev_running_max, with_prev_value
 
 # Failure categories in priority order with their log signals
 # (case-insensitive, RE2/Java-compatible). Earlier categories win when a
 # message matches several; every match is also listed.
 FAILURE_SIGNALS = [
-    ("AUTH_FAILURE", r"(?i)(\b40[13]\b|unauthorized|forbidden|access denied|token expired|invalid credentials|"
+    ("AUTH_FAILURE", r"(?i)((http|status|code|error)[^0-9a-z]{0,6}40[13]\b|^40[13]\b|unauthorized|forbidden|access denied|token expired|invalid credentials|"
                      r"authentication failed|could not assume role|insufficient permissions|request timed out)"),
     ("TIMEOUT", r"(?i)(timeout|timed out|deadline exceeded|execution time limit)"),
     ("NETWORK_ERROR", r"(?i)(connection refused|econnrefused|dns resolution failed|could not connect|"
@@ -30,6 +30,10 @@ FAILURE_SIGNALS = [
     ("SECRET_MISSING", r"(?i)(keyerror: '|os\.environ|environment variable not set)"),
     ("SCRIPT_ERROR", r"(?i)(traceback|nameerror|typeerror|valueerror|keyerror)"),
 ]
+# Integrations that ingest by a vendor's own connectors, and what their failures say. Such a failure
+# is mended in the vendor's tool whatever else the message names.
+INGESTION = ("FIVETRAN", "AIRBYTE", "ESTUARY")
+TOOL_SIGNAL = r"(?i)((sync|connector|replication)[^.]{0,40}(fail|error|broken|paused)|(fail|error)[^.]{0,40}(sync|connector|replication))"
 
 # Routing table (category, integration or '*', writes or '*') -> handler, action.
 ROUTES = [
@@ -43,19 +47,28 @@ ROUTES = [
     ("SECRET_MISSING", "*", "*", "add_secret", "escalate"),
     ("SCRIPT_ERROR", "PYTHON", "*", "fix_script", "confirm"),
     ("SCRIPT_ERROR", "*", "*", "investigate", "escalate"),
+    ("TOOL_OR_INFRASTRUCTURE", "*", "*", "mend_in_vendor_tool", "escalate"),
     ("UNKNOWN", "*", "*", "investigate", "escalate"),
 ]
 
 WRITING_INTEGRATIONS = ("SNOWFLAKE", "DBT_CORE")
 
 
-def classify_failures(df: DataFrame, message_col: str = "message") -> DataFrame:
-    """Adds ``category`` (first matching signal, else UNKNOWN) and ``all_categories``."""
+def classify_failures(df: DataFrame, message_col: str = "message", integration_col: str | None = None) -> DataFrame:
+    """Adds ``category`` (first matching signal, else UNKNOWN) and ``all_categories``.
+
+    With ``integration_col``, sync and connector failures of ingestion integrations are
+    TOOL_OR_INFRASTRUCTURE, before any other category."""
     msg = F.col(message_col)
     cat = F.lit("UNKNOWN")
     for name, pattern in reversed(FAILURE_SIGNALS):
         cat = F.when(msg.rlike(pattern), F.lit(name)).otherwise(cat)
-    hits = F.concat_ws(",", *[F.when(msg.rlike(p), F.lit(n)) for n, p in FAILURE_SIGNALS])
+    hits = [F.when(msg.rlike(p), F.lit(n)) for n, p in FAILURE_SIGNALS]
+    if integration_col is not None:
+        tool = F.upper(F.col(integration_col)).isin(*INGESTION) & msg.rlike(TOOL_SIGNAL)
+        cat = F.when(tool, F.lit("TOOL_OR_INFRASTRUCTURE")).otherwise(cat)
+        hits = [F.when(tool, F.lit("TOOL_OR_INFRASTRUCTURE")), *hits]
+    hits = F.concat_ws(",", *hits)
     return df.withColumn("category", cat).withColumn("all_categories", hits)
 
 
@@ -109,8 +122,9 @@ def pipeline_runs(tasks: DataFrame) -> DataFrame:
 
 
 def latest_failed(runs: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Latest FAILED run per pipeline within ``days`` — one line each (``max_by``)."""
-    recent = runs.where((F.col("run_status") == "FAILED")
+    """Latest FAILED run per pipeline in the ``days`` before ``as_of`` — one line each (``max_by``); later runs are
+    not known then."""
+    recent = runs.where((F.col("run_status") == "FAILED") & (F.col("run_start") < ts_lit(as_of))
                         & (F.col("run_start") >= ts_lit(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")))
     g = recent.groupBy("pipeline_id").agg(F.max_by(F.struct("pipeline_run_id", "run_start", "failed_tasks"),
                                                    F.struct("run_start", "pipeline_run_id")).alias("r"),
@@ -132,9 +146,10 @@ def feature_branch_runs(tasks: DataFrame, main: str = "main") -> DataFrame:
 
 def overlapping_runs(runs: DataFrame) -> DataFrame:
     """Runs that start before an earlier run of the same pipeline and branch has ended:
-    the running max of earlier end times, computed per day bucket plus carried maxima."""
-    x = runs.withColumn("ord", F.struct("run_start", "pipeline_run_id"))
-    x = with_prev_running_max(x, ["pipeline_id", "branch"], "ord", "run_end", day_bucket("run_start"), "prev_max_end")
+    the running max of earlier end times, swept over ranges of (pipeline, branch, start) with carried maxima,
+    so a pipeline with all its runs on one day is split as well."""
+    x = in_ranges(runs.withColumn("ord", F.struct("run_start", "pipeline_run_id")), ["pipeline_id", "branch", "run_start", "pipeline_run_id"])
+    x = with_prev_running_max(x, ["pipeline_id", "branch"], "ord", "run_end", F.col(RANGE), "prev_max_end")
     return (x.where(F.col("run_start") < F.col("prev_max_end"))
             .select("pipeline_id", "branch", "pipeline_run_id", "run_start", "prev_max_end"))
 
@@ -142,8 +157,9 @@ def overlapping_runs(runs: DataFrame) -> DataFrame:
 def resource_conflict_rate(tasks: DataFrame) -> DataFrame:
     """Per pipeline: how often a task starts while the previous task is still running."""
     end = task_end()
-    x = tasks.withColumn("task_end", end).withColumn("ord", F.struct("started_at", "task_run_id"))
-    x = with_prev_value(x, ["pipeline_id"], "ord", "task_end", day_bucket("started_at"), "prev_end")
+    x = tasks.select("pipeline_id", "started_at", "task_run_id", end.alias("task_end")).withColumn("ord", F.struct("started_at", "task_run_id"))
+    x = in_ranges(x, ["pipeline_id", "started_at", "task_run_id"])
+    x = with_prev_value(x, ["pipeline_id"], "ord", "task_end", F.col(RANGE), "prev_end")
     g = x.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("tasks"),
                                      F.count_if(F.col("prev_end") > F.col("started_at")).alias("conflicts"))
     return g.withColumn("conflict_pct", (F.col("conflicts") * 100 / F.col("tasks")).cast("decimal(18,2)")

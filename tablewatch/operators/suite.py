@@ -194,16 +194,18 @@ def violation_sample(df: DataFrame, tests: list[TestSpec], order_by: list[str],
                      key_cols: list[str] | None = None, limit: int = 100, refs: dict | None = None) -> DataFrame:
     """Up to ``limit`` example rows per test next to the full violation count.
 
-    The count comes from the fused aggregate (before any limit). The sample is
-    ``row_number() <= limit`` per test: Spark plans it as a WindowGroupLimit
-    that keeps at most ``limit`` rows per test in every task before the
-    shuffle, so no test's rows are gathered into one task.
+    The count comes from the fused aggregate (before any limit). All row tests take their examples from
+    one more read: each row is listed once for every test it fails. The sample is ``row_number() <= limit``
+    per test: Spark plans it as a WindowGroupLimit that keeps at most ``limit`` rows per test in every task
+    before the shuffle, so no test's rows are gathered into one task.
     """
     key_cols = key_cols or order_by
-    parts = None
+    names = [F.when(p, F.lit(s.name)) for s in tests if (p := _pred(s, as_of)) is not None]
+    parts = df.select(*key_cols, F.explode(F.array_compact(F.array(*names))).alias("test_name")) if names else None
     for s in tests:
-        rows = test_rows(s, df, as_of, refs).select(*key_cols).withColumn("test_name", F.lit(s.name))
-        parts = rows if parts is None else parts.unionByName(rows)
+        if _pred(s, as_of) is None:
+            rows = _plan(s, df, as_of, refs or {}).select(*key_cols).withColumn("test_name", F.lit(s.name))
+            parts = rows if parts is None else parts.unionByName(rows)
     w = Window.partitionBy("test_name").orderBy(*order_by)
     sample = parts.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= limit)
     counts = suite_counts(df, tests, as_of, refs).withColumnRenamed("violations", "violations_total")

@@ -45,7 +45,7 @@ CLASSIFY_CASE = """case when data_type = 'boolean' then 'boolean'
   when regexp_matches(data_type, '^(tinyint|smallint|int|bigint|float|double|decimal)') and distinct_vals <= 2
        and min_val = '0' and max_val = '1' then 'boolean'
   when regexp_matches(data_type, '^(tinyint|smallint|int|bigint|float|double|decimal)') then 'measure'
-  when distinct_vals <= 50 then 'category'
+  when distinct_vals * 10 <= non_null then 'category'
   else 'free_text' end"""
 
 ALL_PROFILE_SQL = "\nunion all ".join(_profile_sql(tb, cols) for tb, cols in CLASSIFY_TABLES.items())
@@ -130,4 +130,4 @@ def _suggest(spark, d):
 select column_name, nulls, case when nulls > 0 then concat('> ', cast(nulls as varchar)) else '> 0' end as error_threshold
 from ({_profile_sql('orders_dirty', ORDERS_DIRTY_COLS)})""")
 def _threshold_suggest(spark, d):
-    return threshold_suggest(pr.profile_columns(t(spark, d, "orders_dirty")))
+    return threshold_suggest(pr.null_profile(t(spark, d, "orders_dirty")))
