@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.graph import least_below, reach
 from tablewatch.functions.timeutil import epoch_seconds, period_seconds, ts_lit
+from tablewatch.sources.files import listed_files
 
 # Load-time column names, strongest first; the last two are weak signals.
 LOADED_AT_NAMES = ["loaded_at", "_loaded_at", "_synced_at", "_fivetran_synced", "_airbyte_emitted_at",
@@ -60,13 +61,12 @@ def freshness_bounded(df: DataFrame, loaded_at: str, as_of, bound_days: int,
 
 
 def freshness_metadata(spark, paths: dict[str, str]) -> DataFrame:
-    """Last modification time from file metadata when no load column exists (over-reports:
-    any rewrite counts as a load). Reads only the hidden ``_metadata`` column."""
+    """Last modification time of each table's files when no load column exists (over-reports: any rewrite
+    counts as a load). From the listing of the files: a row a file, no file is opened."""
     parts = []
     for name, path in paths.items():
-        df = spark.read.parquet(path).select("_metadata.file_modification_time", "_metadata.file_path")
-        parts.append(df.agg(F.max("file_modification_time").alias("last_modified"),
-                            F.countDistinct("file_path").alias("files")).withColumn("table_name", F.lit(name)))
+        parts.append(listed_files(spark, path).agg(F.max("modificationTime").alias("last_modified"),
+                                                   F.count(F.lit(1)).alias("files")).withColumn("table_name", F.lit(name)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -48,8 +48,20 @@ def path_present(doc_col: str, path: str) -> Column:
     return _at(doc_col, path).isNotNull()
 
 
-def regex_count(text_col: str, pattern: str) -> Column:
-    return F.regexp_count(F.col(text_col), F.lit(pattern))
+def regex_count(text_col: str, pattern: str, ignore_case: bool = False) -> Column:
+    return F.regexp_count(F.col(text_col), F.lit(f"(?i){pattern}" if ignore_case else pattern))
+
+
+def regex_at_least(text_col: str, pattern: str, minimum: int = 1, ignore_case: bool = False) -> Column:
+    """The pattern comes ``minimum`` times or more; false for a null text."""
+    return F.coalesce(regex_count(text_col, pattern, ignore_case) >= minimum, F.lit(False))
+
+
+def field_at(item: Column, path: str) -> Column:
+    """A field of a struct by a dotted path."""
+    for name in path.split("."):
+        item = item[name]
+    return item
 
 
 def min_children(arr: Column, n: int) -> Column:
@@ -67,12 +79,25 @@ def all_children_have(arr: Column, field: str) -> Column:
 
 
 def every_item(arr: Column, field: str, value) -> Column:
-    """Field equals value in all items; false when there are none."""
-    return F.coalesce((F.size(arr) > 0) & F.forall(arr, lambda x: x[field] == F.lit(value)), F.lit(False))
+    """The field (a dotted path) equals value in all items; false when there are none. An item without the field differs."""
+    return F.coalesce((F.size(arr) > 0) & F.forall(arr, lambda x: F.coalesce(field_at(x, field) == F.lit(value), F.lit(False))), F.lit(False))
 
 
 def some_item(arr: Column, field: str, value) -> Column:
-    return F.coalesce(F.exists(arr, lambda x: x[field] == F.lit(value)), F.lit(False))
+    """The field (a dotted path) equals value in at least one item."""
+    return F.coalesce(F.exists(arr, lambda x: F.coalesce(field_at(x, field) == F.lit(value), F.lit(False))), F.lit(False))
+
+
+def children_without(doc_col: str, path: str, field: str, name: str) -> Column:
+    """Names of the children (elements of the array at ``path``) that lack ``field``; a JSON null is a value.
+
+    On the JSON itself: in a parsed struct an absent field and a JSON null look the same. A child without a
+    name is listed by its place, from 0."""
+    items = F.try_variant_get(F.try_parse_json(F.col(doc_col)), path, "array<variant>")
+    lacks = F.filter(F.transform(items, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+                     lambda s: F.try_variant_get(s["x"], f"$.{field}", "variant").isNull())
+    return F.coalesce(F.transform(lacks, lambda s: F.coalesce(F.try_variant_get(s["x"], f"$.{name}", "string"), s["i"].cast("string"))),
+                      F.array().cast("array<string>"))
 
 
 def any_child_linked(arr: Column, links: str) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablewatch.operators import freshness as fr
 from tablewatch.plans.common import AS_OF_EVENTS, AS_OF_LINEITEM, query, t
 from tablewatch.sources.catalog import schema_catalog_many
-from tablewatch.sources.fixtures import BASE_TABLES
+from tablewatch.session import scratch_path
+from tablewatch.sources.fixtures import BASE_TABLES, FIXTURE_SQL
 
 A = AS_OF_EVENTS
 
@@ -41,9 +44,17 @@ def _bounded(spark, d):
     return fr.freshness_bounded(t(spark, d, "lineitem"), "l_shipdate", AS_OF_LINEITEM, 60)
 
 
-@query("freshness_metadata")
+@query("freshness_metadata", f"""
+select concat('events of ', strftime(ts, '%Y-%m-%d')) as table_name, true as landed, true as fresh from events where ts < timestamp '2024-01-08 00:00:00' group by 1""")
 def _metadata(spark, d):
-    return fr.freshness_metadata(spark, {n: f"{d}/{n}.parquet" for n in ("orders", "lineitem", "events")})
+    """The first week of events, landed by day: every day's files are newer than the start of the landing."""
+    base = scratch_path(spark, f"days/{uuid.uuid4().hex}")
+    begun = spark.sql("select date_trunc('SECOND', current_timestamp()) as at").first()["at"]
+    week = t(spark, d, "events").where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    week.write.partitionBy("day").parquet(base)
+    days = sorted(r["day"] for r in week.select("day").distinct().collect())  # seven at most
+    facts = fr.freshness_metadata(spark, {f"events of {x}": f"{base}/day={x}" for x in days})
+    return facts.select("table_name", (F.col("files") > 0).alias("landed"), (F.col("last_modified") >= F.lit(begun)).alias("fresh"))
 
 
 def _inherit_frames(spark, d):
@@ -67,10 +78,19 @@ def _inherit(spark, d):
     return fr.freshness_inherit(*_inherit_frames(spark, d), "user_id")
 
 
-@query("pick_loaded_at")
+PICKED = [*BASE_TABLES, "model_sources", "task_runs", "access_log", "clusters"]
+PICKED_COLUMNS = "\nunion all ".join(
+    f"select '{n}' as table_name, column_name from (describe {FIXTURE_SQL.get(n, 'select * from ' + n)})" for n in PICKED)
+RANKS_SQL = ", ".join(f"('{n}', {i + 1})" for i, n in enumerate(fr.LOADED_AT_NAMES))
+
+
+@query("pick_loaded_at", f"""
+with c as ({PICKED_COLUMNS}),
+hit as (select c.table_name, arg_min(c.column_name, r.rank) as loaded_at_column, min(r.rank) >= 8 as weak
+        from c join (values {RANKS_SQL}) as r(name, rank) on lower(c.column_name) = r.name group by 1)
+select t.table_name, loaded_at_column, weak from (select distinct table_name from c) t left join hit using (table_name)""")
 def _pick(spark, d):
-    frames = {n: t(spark, d, n) for n in BASE_TABLES}
-    frames.update({n: t(spark, d, n) for n in ("model_sources", "task_runs", "access_log", "clusters")})
+    frames = {n: t(spark, d, n) for n in PICKED}
     return fr.pick_loaded_at(schema_catalog_many(frames, spark))
 
 

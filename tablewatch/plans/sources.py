@@ -95,9 +95,17 @@ def _catalog(spark, d):
     return schema_catalog(t(spark, d, "orders"), "orders")
 
 
-@query("file_arrival")
+DAY_SQL = "strftime(ts, '%Y-%m-%d')"
+
+
+@query("file_arrival", f"""
+select day, bool_or(landed) as arrived from (select {DAY_SQL} as day, day(ts) % 2 = 0 as landed from events) group by 1""")
 def _arrival(spark, d):
-    return io.file_arrival(spark, d, "*.parquet").select("files", "arrived")
+    """Events are due every day; only even days have landed."""
+    base = _fresh(spark, "days")
+    e = t(spark, d, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    e.where(F.dayofmonth("ts") % 2 == 0).write.partitionBy("day").parquet(base)
+    return io.day_arrivals(spark, base, "day", e.select("day").distinct()).select("day", "arrived")
 
 
 @query("fan_in_files", """

@@ -30,19 +30,25 @@ def _incremental(spark, d):
     return per_batch.agg(F.sum("new_rows").alias("new_rows"), F.countDistinct("batch_id").cast("int").alias("batches"))
 
 
-TESTS_SQL = """select 'value_over_100' as test_name, count_if(value > 100) as violations from events
-union all select 'unknown_type', count_if(event_type not in ('click', 'view', 'error', 'signup', 'purchase')) from events
-union all select 'null_user', count_if(user_id is null) from events"""
+ARRIVALS = 5
+TESTS_SQL = """with b as (select *, cast(event_id % 5 as int) as batch_id from events),
+v as (select batch_id, 'value_over_100' as test_name, count_if(value > 100) as violations from b group by 1
+  union all select batch_id, 'unknown_type', count_if(event_type not in ('click', 'view', 'error', 'signup', 'purchase')) from b group by 1
+  union all select batch_id, 'null_user', count_if(user_id is null) from b group by 1)
+select *, case when violations > 0 then 'FAILED' else 'SUCCEEDED' end as verdict from v"""
 
 
 @query("stream_dq", TESTS_SQL)
 def _stream_dq(spark, d):
-    base = _landed(spark, d)
+    base = scratch_path(spark, f"stream/{uuid.uuid4().hex}")
     tests = {"value_over_100": F.col("value") > 100,
              "unknown_type": ~F.col("event_type").isin("click", "view", "error", "signup", "purchase"),
              "null_user": F.col("user_id").isNull()}
-    out = st.stream_dq(spark, f"{base}/source", SCHEMA, tests, f"{base}/sink", f"{base}/ckpt")
-    return out.groupBy("test_name").agg(F.sum("violations").alias("violations"))
+    e = t(spark, d, "events")
+    for k in range(ARRIVALS):  # each arrival is a run, and a batch, of its own
+        st.land(e.where(F.col("event_id") % ARRIVALS == k), f"{base}/source", f"arrival={k}")
+        out = st.stream_dq(spark, f"{base}/source", SCHEMA, tests, f"{base}/sink", f"{base}/ckpt")
+    return out.select(F.col("batch_id").cast("int").alias("batch_id"), "test_name", "violations", "verdict")
 
 
 @query("stream_freshness", f"""
@@ -58,16 +64,25 @@ def _stream_freshness(spark, d):
 
 
 @query("stream_cursor_drift", """
-with s as (select count(*) as n, max(ts) as mx from events),
-d as (select count(*) as n, max(ts) as mx from events where event_id % 97 <> 0)
-select s.n as src_rows, d.n as dst_rows, d.n - s.n as count_drift, s.mx as src_max, d.mx as dst_max,
-  cast(floor(epoch(d.mx)) - floor(epoch(s.mx)) as bigint) as max_drift_s from s, d""")
+with s as (select cast(event_id % 5 as int) as batch_id, count(*) as n, max(ts) as mx from events group by 1),
+d as (select cast(event_id % 5 as int) as batch_id, count(*) as n, max(ts) as mx from events where event_id % 97 <> 0 group by 1),
+j as (select batch_id, coalesce(s.n, 0) as src_rows, coalesce(d.n, 0) as dst_rows, s.mx as src_max, d.mx as dst_max,
+  least(max(s.mx) over w, max(d.mx) over w) as new_cursor
+  from s full join d using (batch_id) window w as (order by batch_id rows between unbounded preceding and current row))
+select batch_id, lag(new_cursor) over (order by batch_id) as cached_cursor, src_rows, dst_rows, dst_rows - src_rows as count_drift, src_max, dst_max,
+  cast(floor(epoch(dst_max)) - floor(epoch(src_max)) as bigint) as max_drift_s,
+  case when dst_rows <> src_rows then 'FAILED' else 'SUCCEEDED' end as count_verdict,
+  case when abs(floor(epoch(dst_max)) - floor(epoch(src_max))) > 60 then 'FAILED' else 'SUCCEEDED' end as max_verdict, new_cursor
+from j""")
 def _stream_drift(spark, d):
-    src = _landed(spark, d)
-    dst = _landed(spark, d, F.col("event_id") % 97 != 0)  # the copy that lost some rows
-    s = st.stream_side_totals(spark, f"{src}/source", SCHEMA, "ts", f"{src}/sink", f"{src}/ckpt")
-    dd = st.stream_side_totals(spark, f"{dst}/source", SCHEMA, "ts", f"{dst}/sink", f"{dst}/ckpt")
-    return st.cursor_drift(s, dd)
+    base = scratch_path(spark, f"stream/{uuid.uuid4().hex}")
+    e, out = t(spark, d, "events"), {}
+    for k in range(ARRIVALS):
+        part = e.where(F.col("event_id") % ARRIVALS == k)
+        for side, df in (("src", part), ("dst", part.where(F.col("event_id") % 97 != 0))):  # the copy that lost some rows
+            st.land(df, f"{base}/{side}/source", f"arrival={k}")
+            out[side] = st.stream_side_totals(spark, f"{base}/{side}/source", SCHEMA, "ts", f"{base}/{side}/sink", f"{base}/{side}/ckpt")
+    return st.cursor_drift(out["src"], out["dst"])
 
 
 @query("ready_check", """

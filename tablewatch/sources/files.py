@@ -50,10 +50,24 @@ def rebuild_partition(source: DataFrame, path: str, day_col: str, day) -> None:
     replace_day(source.where(F.col(day_col) == F.lit(day)), path, day_col)
 
 
+def listed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``(path, modificationTime, length)`` of the files under a path, a row a file. The content column is
+    pruned, so nothing is read but the listing; files that writers keep for themselves are not listed."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+            .load(path).select("path", "modificationTime", "length").where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")))
+
+
+def day_arrivals(spark: SparkSession, base: str, day_col: str, days: DataFrame) -> DataFrame:
+    """``(day, files, bytes, arrived)`` of every expected day (column ``day``, text) under day folders."""
+    day = F.regexp_extract("path", rf"/{day_col}=([^/]+)/", 1)
+    found = listed_files(spark, base).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return (days.select("day").join(found, "day", "left")
+            .select("day", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("bytes", F.lit(0)).alias("bytes"), F.col("files").isNotNull().alias("arrived")))
+
+
 def file_arrival(spark: SparkSession, prefix: str, glob: str = "*") -> DataFrame:
     """Files under a prefix (listing only: the content column is never read)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(prefix).select("path", "length"))
+    files = listed_files(spark, prefix, glob)
     return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")) \
         .select(F.lit(prefix).alias("prefix"), "files", "bytes", (F.col("files") > 0).alias("arrived"))
 

@@ -7,7 +7,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablewatch.functions.windows import RANGE, in_ranges
-from tablewatch.operators import profile, runs, suite
+from tablewatch.operators import freshness, nested, profile, runs, suite
+from tablewatch.sources import files
+from tablewatch.streaming import stream
 from tests.conftest import SMALL
 
 
@@ -123,3 +125,50 @@ def test_failure_categories(spark):
     out = runs.route_failures(runs.classify_failures(df, integration_col="integration"))
     assert sorted(((r["message"], r["integration"], r["category"]) for r in out.collect()), key=str) == sorted(rows, key=str)
     assert {r["handler"] for r in out.where("category = 'TOOL_OR_INFRASTRUCTURE'").collect()} == {"mend_in_vendor_tool"}
+
+
+def test_dotted_paths_and_missing_names(spark):
+    docs = [('{"items": [{"id": "a", "meta": {"kind": {"v": 1}}}, {"id": "b", "meta": {"kind": {"v": 1}}, "need": null}]}',),
+            ('{"items": [{"id": "a", "meta": {"kind": {"v": 1}}, "need": 3}, {"meta": null}]}',), ('{"items": []}',), ("not json",), (None,)]
+    df = nested.parse_docs(spark.createDataFrame(docs, "doc string"), "struct<items:array<struct<id:string, meta:struct<kind:struct<v:int>>>>>")
+    items = F.col("p.items")
+    got = df.select(nested.every_item(items, "meta.kind.v", 1).alias("all"), nested.some_item(items, "meta.kind.v", 1).alias("any"),
+                    nested.children_without("doc", "$.items", "need", "id").alias("lost")).collect()
+    assert [(r["all"], r["any"], r["lost"]) for r in got] == [
+        (True, True, ["a"]), (False, True, ["1"]), (False, False, []), (False, False, []), (False, False, [])]
+
+
+def test_regex_minimum(spark):
+    df = spark.createDataFrame([("Foo foo FOO",), ("foo",), (None,)], "t string")
+    got = [tuple(r) for r in df.select(nested.regex_count("t", "foo"), nested.regex_count("t", "foo", True), nested.regex_at_least("t", "foo", 2),
+                                       nested.regex_at_least("t", "foo", 2, True)).collect()]
+    assert got == [(1, 3, False, True), (1, 1, False, False), (None, None, False, False)]
+
+
+def test_file_facts_open_no_file(spark, tmp_path):
+    spark.range(10).withColumn("day", F.concat(F.lit("d"), F.col("id") % 3)).write.partitionBy("day").parquet(f"{tmp_path}/t")
+    listed = files.listed_files(spark, f"{tmp_path}/t")
+    assert "content" not in plan(listed).split("ReadSchema")[1] and all(not r["path"].rsplit("/", 1)[1].startswith("_") for r in listed.collect())
+    due = spark.createDataFrame([("d0",), ("d2",), ("d7",)], "day string")
+    got = {r["day"]: (r["arrived"], r["bytes"] > 0) for r in files.day_arrivals(spark, f"{tmp_path}/t", "day", due).collect()}
+    assert got == {"d0": (True, True), "d2": (True, True), "d7": (False, False)}
+    facts = freshness.freshness_metadata(spark, {"t": f"{tmp_path}/t", "t0": f"{tmp_path}/t/day=d0"}).collect()
+    assert {r["table_name"] for r in facts} == {"t", "t0"} and all(r["files"] > 0 and r["last_modified"] for r in facts)
+
+
+def test_batches_have_a_verdict_of_their_own(spark, tmp_path):
+    """Each run is a batch; a batch without a side fails, the cursor stays with the slower side."""
+    def rows(*v):
+        return spark.createDataFrame([(x, dt.datetime(2024, 1, x)) for x in v], "id long, ts timestamp_ntz")
+
+    schema = "id long, ts timestamp_ntz"
+    out = {}
+    for k, (src, dst) in enumerate([((1, 2), (1, 2)), ((3, 4), (3,)), ((5,), (5, 5))]):
+        for side, v in (("src", src), ("dst", dst)):
+            stream.land(rows(*v), f"{tmp_path}/{side}/in", f"a{k}")
+            out[side] = stream.stream_side_totals(spark, f"{tmp_path}/{side}/in", schema, "ts", f"{tmp_path}/{side}/out", f"{tmp_path}/{side}/ckpt")
+        dq = stream.stream_dq(spark, f"{tmp_path}/src/in", schema, {"big": F.col("id") > 2}, f"{tmp_path}/dq", f"{tmp_path}/dq_ckpt")
+    drift = [(r["batch_id"], r["count_drift"], r["count_verdict"], r["max_verdict"], r["cached_cursor"] and r["cached_cursor"].day, r["new_cursor"].day)
+             for r in stream.cursor_drift(out["src"], out["dst"]).orderBy("batch_id").collect()]
+    assert drift == [(0, 0, "SUCCEEDED", "SUCCEEDED", None, 2), (1, -1, "FAILED", "FAILED", 2, 3), (2, 1, "FAILED", "SUCCEEDED", 3, 5)]
+    assert [(r["violations"], r["verdict"]) for r in dq.orderBy("batch_id").collect()] == [(0, "SUCCEEDED"), (2, "FAILED"), (1, "FAILED")]
