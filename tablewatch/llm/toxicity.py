@@ -8,8 +8,11 @@ group can count for more than both apart, which additive weights cannot express.
 
 The machine is fitted on at most ``POSITIVES`` and ``NEGATIVES`` labelled rows (a bounded sample, those
 with the smallest hashes of their ids). Spark counts in how many of them each term occurs; the
-``TERMS`` terms that differ most between the labels are kept. Every whole text is then scored in
-one scan with the fitted terms as a broadcast of fixed size. Scores use the text alone.
+``TERMS`` terms that differ most between the labels are kept. Terms that tell nothing by themselves are
+kept for their pairs: among the ``FREQUENT`` most frequent terms, tasks count how often any two occur
+together, and up to ``PAIR_TERMS`` terms join whose pairs depend on each other otherwise in one label
+than in the other. Every whole text is then scored in one scan with the fitted terms as a broadcast of
+fixed size. Scores use the text alone.
 
 Defined results: a null or empty text scores the machine's bias; rows are scored one by one, so
 repeated rows each get theirs; labels that are null or name no document are left out; of repeated
@@ -34,6 +37,8 @@ POSITIVES, NEGATIVES = 6_000, 14_000
 TERMS = 4_096
 FACTORS = 8
 LEAST_Z = 6.0
+FREQUENT, PAIR_TERMS = 512, 128
+LEAST_PAIR_Z = 8.0       # some 130,000 pairs are looked at: chance alone stays below 5
 STEPS, RATE, DECAY = 150, 0.05, 2e-3
 
 
@@ -74,6 +79,43 @@ def _frequencies(batches):
     yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int64()), "n0": pa.array(total[0, seen]), "n1": pa.array(total[1, seen])})
 
 
+def _together(frequent: np.ndarray):
+    """Of each label, in how many rows of a task any two of the ``frequent`` terms (ascending) occur together."""
+    def work(batches):
+        total = np.zeros((2, len(frequent), len(frequent)), np.int64)
+        for batch in batches:
+            toxic = np.array(batch.column("toxic").to_pylist(), np.int64)
+            has = np.zeros((len(toxic), len(frequent)), np.float32)
+            for i, raw in enumerate(batch.column("terms").to_pylist()):
+                has[i] = np.isin(frequent, np.frombuffer(raw, "<u4"), assume_unique=True)
+            for t in (0, 1):
+                total[t] += np.rint(has[toxic == t].T @ has[toxic == t]).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
+    return work
+
+
+def paired_terms(counts: np.ndarray, n: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    """Places of the terms of telling pairs, strongest first. ``counts[t]`` are the rows of label t with both
+    terms, its diagonal those with one; ``taken`` terms need no pair to be kept.
+
+    Within a label two terms depend on each other by ``P(both) - P(one) P(other)``; a pair tells if that
+    differs between the labels by more than chance. Two terms that only tell one by one do not."""
+    share = counts / n[:, None, None]
+    one = np.diagonal(share, axis1=1, axis2=2)
+    depend = share - one[:, :, None] * one[:, None, :]
+    spread = one * (1 - one)
+    noise = np.sqrt((spread[:, :, None] * spread[:, None, :] / n[:, None, None]).sum(axis=0)) + 1e-9
+    z = np.abs(depend[1] - depend[0]) / noise
+    # Too few rows to judge: a term that is in next to none or next to all of them.
+    enough = (counts[:, np.arange(len(taken)), np.arange(len(taken))].sum(axis=0) >= 0.01 * n.sum()) & (one.mean(axis=0) <= 0.9)
+    z[~enough] = z[:, ~enough] = 0
+    np.fill_diagonal(z, 0)
+    z[np.ix_(taken, taken)] = 0
+    best = z.max(axis=1)
+    order = np.lexsort((np.arange(len(best)), -best))
+    return order[best[order] >= LEAST_PAIR_Z][:PAIR_TERMS]
+
+
 @dataclass
 class Machine:
     bias: float
@@ -131,9 +173,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine:
         return Machine(float(np.log(p / (1 - p))) if n0 + n1 else -30.0, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     share = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
     z = F.abs((F.col("n1") + 0.5) / (n1 + 1) - (F.col("n0") + 0.5) / (n0 + 1)) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
-    best = (rows.mapInArrow(_frequencies, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-            .withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect())
-    terms = np.array(sorted(r["term"] for r in best), np.int64)
+    counted = stored(rows.mapInArrow(_frequencies, "term long, n0 long, n1 long").groupBy("term")
+                     .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("z", z), "toxic-counts")
+    best = counted.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()
+    alone = np.array(sorted(r["term"] for r in best), np.int64)
+    frequent = np.array(sorted(r["term"] for r in counted.orderBy((-(F.col("n0") + F.col("n1"))), "term").limit(FREQUENT).collect()), np.int64)
+    size = len(frequent)
+    parts = rows.coalesce(16).mapInArrow(_together(frequent), "counts binary").toLocalIterator()  # a matrix of fixed size a task
+    both = sum((np.frombuffer(r["counts"], np.int64).reshape(2, size, size) for r in parts), np.zeros((2, size, size), np.int64))
+    pairs = paired_terms(both, np.array([n0, n1], float), np.isin(frequent, alone))
+    terms = np.union1d(alone, frequent[pairs])
 
     def chosen(batches):
         for batch in batches:

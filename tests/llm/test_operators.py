@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,6 +312,36 @@ def test_toxicity_learns_pairs_and_generalises(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def test_toxicity_learns_what_only_pairs_tell(spark):
+    """Two words, each as frequent in either label, toxic if both or neither occur: additive weights over the same
+    words stay at chance on held-out rows, the machine does not."""
+    import zlib
+    rng = random.Random(12)
+    filler = [f"word{i}" for i in range(40)]
+    texts, labels = {}, {}
+    for i in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = rng.choices(filler, k=12) + ["apple"] * a + ["river"] * b
+        rng.shuffle(w)
+        texts[i], labels[i] = " ".join(w), int(a == b)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame([(i, t) for i, t in labels.items()], "doc_id long, toxic int")
+    out = {r["doc_id"]: r for r in toxicity(df, known, threshold=0.5).collect()}
+    held = [i for i in texts if out[i]["held_out"]]
+    assert np.mean([out[i]["predicted"] == labels[i] for i in held]) >= 0.95
+    # A logistic regression on the same words, by gradient descent.
+    words = sorted({w for t in texts.values() for w in t.split()})
+    x = np.array([[w in t.split() for w in words] for t in texts.values()], float)
+    y = np.array(list(labels.values()))
+    learn = np.array([zlib.crc32(str(i).encode()) % 3 != 1 for i in texts])
+    weight, bias = np.zeros(len(words)), 0.0
+    for _ in range(300):
+        g = 1 / (1 + np.exp(-(x[learn] @ weight + bias))) - y[learn]
+        weight -= 0.5 * x[learn].T @ g / learn.sum()
+        bias -= 0.5 * g.mean()
+    assert abs(np.mean((x[~learn] @ weight + bias > 0) == y[~learn]) - 0.5) < 0.08
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     out = toxicity(df, spark.createDataFrame([], "doc_id long, toxic int")).collect()
