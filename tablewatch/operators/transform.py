@@ -5,6 +5,8 @@ All are lazy DataFrame functions; a pipeline is a chain of them and one write.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,20 +80,24 @@ def lookback_rollup(facts: DataFrame, ts_col: str, group_cols: list[str], measur
         .alias("total_cents"))
 
 
+PAIR_BLOCK = 10_000
+
+
 def scenario_cross(df: DataFrame, a_name: str, a_values: list, b_name: str, b_values: list,
                    predicate) -> DataFrame:
     """Every (a, b) parameter pair run on the table.
 
-    The two parameter lists are crossed (|a| x |b| rows, fixed by the caller) and
-    broadcast; the table is scanned once and each row is matched to the pairs it
-    satisfies; pairs with no row still appear with count 0.
+    The caller's two lists are crossed and broadcast in blocks of at most ``PAIR_BLOCK`` pairs, one scan of
+    the table a block: each row is matched to the pairs it satisfies. Pairs with no row still appear with
+    count 0.
     """
     spark = df.sparkSession
     a = spark.createDataFrame([(v,) for v in a_values], [a_name])
-    b = spark.createDataFrame([(v,) for v in b_values], [b_name])
-    pairs = a.crossJoin(b)
-    hits = df.join(F.broadcast(pairs), predicate(df, F.col(a_name), F.col(b_name)), "inner")
-    counts = hits.groupBy(a_name, b_name).agg(F.count(F.lit(1)).alias("n"))
+    step = max(1, PAIR_BLOCK // max(1, len(a_values)))
+    blocks = [a.crossJoin(spark.createDataFrame([(v,) for v in b_values[i:i + step]], [b_name])) for i in range(0, len(b_values), step)]
+    found = [df.join(F.broadcast(x), predicate(df, F.col(a_name), F.col(b_name)), "inner").groupBy(a_name, b_name).agg(F.count(F.lit(1)).alias("n"))
+             for x in blocks]
+    pairs, counts = (reduce(lambda x, y: x.unionByName(y), parts) for parts in (blocks, found))
     return pairs.join(counts, [a_name, b_name], "left").select(a_name, b_name,
                                                                F.coalesce("n", F.lit(0)).alias("n"))
 

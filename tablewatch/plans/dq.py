@@ -130,9 +130,14 @@ def _regex(spark, d):
     return q.dq_regex(t(spark, d, "orders_dirty"), "o_orderpriority", r"^[1-5]-[A-Z ]+$")
 
 
-@query("dq_boolean_domain", "select * from labels where toxic is not null and toxic not in (0, 1)")
+@query("dq_boolean_domain", """
+with x as (select doc_id, quality, case when doc_id % 50 = 0 then 2 when doc_id % 50 = 1 then null else toxic end as toxic from labels)
+select * from x where toxic is not null and toxic not in (0, 1)""")
 def _boolean(spark, d):
-    return q.dq_boolean_domain(t(spark, d, "labels"), "toxic", numeric=True)
+    """Labels of which some hold a number that is no truth value, and some none."""
+    k = F.col("doc_id") % 50
+    labels = t(spark, d, "labels").select("doc_id", "quality", F.when(k == 0, 2).when(k != 1, F.col("toxic")).alias("toxic"))
+    return q.dq_boolean_domain(labels, "toxic", numeric=True)
 
 
 @query("dq_percent", "select * from events where not (value between 0 and 100)")
@@ -149,9 +154,13 @@ def _geo(spark, d):
     return q.dq_geo(c, "lat", "lon")
 
 
-@query("dq_not_empty", "select 1 as empty_table from (select count(*) as n from orders_dirty) where n = 0")
+@query("dq_not_empty", """
+select 1 as empty_table from (select count(*) as n from orders_dirty) where n = 0
+union all select 1 from (select count(*) as n from orders_dirty where o_orderstatus = 'Z') where n = 0""")
 def _not_empty(spark, d):
-    return q.dq_not_empty(t(spark, d, "orders_dirty"))
+    """A table with rows, and a part of it that has none."""
+    o = t(spark, d, "orders_dirty")
+    return q.dq_not_empty(o).unionByName(q.dq_not_empty(o.where(F.col("o_orderstatus") == "Z")))
 
 
 @query("dq_volume_drop", """
