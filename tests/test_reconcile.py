@@ -25,6 +25,19 @@ def test_equal_rows_do_not_cancel(spark):
     assert r.rec_row_checksum(rows("a"), rows("a", "a")).first()["verdict"] == "FAILED"
 
 
+def test_row_checksum_counts_distinct_and_duplicate_rows(spark):
+    def rows(*v):
+        return spark.createDataFrame([(x,) for x in v], "v string")
+
+    got = r.rec_row_checksum(rows("a", "a", None, None, None, "b"), rows("a", "b")).first()
+    assert (got["src_rows"], got["src_distinct_rows"], got["src_dup_rows"]) == (6, 3, 3)
+    assert (got["dst_rows"], got["dst_distinct_rows"], got["dst_dup_rows"], got["verdict"]) == (2, 2, 0, "FAILED")
+    none = r.rec_row_checksum(rows(), rows()).first()
+    assert (none["src_rows"], none["src_distinct_rows"], none["src_dup_rows"], none["src_checksum"], none["verdict"]) == (0, 0, 0, 0, "SUCCEEDED")
+    same = r.rec_row_checksum(rows("a", "a", "b"), rows("b", "a", "a")).first()
+    assert same["verdict"] == "SUCCEEDED" and same["src_checksum"] == r.rec_table_fingerprint(rows("a", "a", "b"), rows("a")).first()["src_checksum"]
+
+
 def test_sums_merge(spark):
     """The sums of two halves add up to those of the whole."""
     o = spark.read.parquet(f"{SMALL}/orders.parquet")
