@@ -3,28 +3,30 @@
 A document's set is its distinct ``words``-word shingles, hashed once. Its sketch is the ``k``
 smallest hashes. Documents with equal sets form a class, and only class representatives go on.
 
-*Inverted lists.* Their keys are runs of three retained values that are neighbours in a sketch
-(pairs too, for sets of up to five). Of two complete sketches (sets of up to ``k``) with a Jaccard
-similarity of 0.8, the longest shared run has three values at least (two when the union has five),
-so none is missed. For larger sets, 64 draws that each agree with probability 0.8 have no run of
-three with probability 1e-10. Keys that occur once are dropped in the compact exchange. A list's
-members are ordered by the values that follow the run. Lists of up to ``NEIGHBOURS`` and one are
-paired in full; in a longer list each is paired with the next ``NEXT``: members that agree on one or
-two more values stand side by side, and a pair has dozens of lists. In a group of
-near copies, the least changed ones have the most runs in common with others; every member of a long
-list is also paired with the list's ``PIVOTS`` members of which most runs occur elsewhere. A list is
-split between tasks wherever it is long, and the pairs across a split are added, so neither a huge
-group of near copies nor a passage that a third of all documents share makes all pairs.
+*Quick pass.* Lists whose keys are runs of three retained values that are neighbours in a sketch (pairs
+too, for sets of up to five); keys that occur once are dropped in the compact exchange. Lists of up to
+``NEIGHBOURS`` and one are paired in full. In a longer list, ordered by the values that follow the run, each
+member is paired with the next ``NEXT`` and with the ``PIVOTS`` members of which most runs occur elsewhere.
+Each document's candidate of the most lists is estimated and verified; what holds gives the first
+components. This pass only makes few large components early: no link depends on it.
+
+*Exact pass.* Candidates are all pairs of documents of different components whose sketches allow the
+similarity (below), none left out. Two such sketches have ``LEAST`` values in common at least (complete
+ones four fifths of each), so of their values in one order for all, rarest first, the first
+``64 - LEAST + 1`` of both have one in common. These are the keys of a second set of inverted lists; a passage
+or word that many share comes last in the order, and has a list of those only that consist of little else.
+The order is by a table of fixed size of how often values occur. A list of one component is settled; in any
+other, of whatever length, every member outside its largest component is compared with all its members,
+block by block, on the retained values, and what passes leaves the task. Where more pairs of a block pass than it
+has members, a forest of them leaves instead, by which all their components are put in one region, and a region is
+compared in full.
 
 *Union-sketch filter.* The bottom-k of the union of two sketches estimates the similarity; pairs
 below 0.55 (five standard deviations under 0.8) are dropped, complete sketches decide exactly.
 
-*Verification* on full sets. First each document's candidate of the most common lists; components need
-no more links, nor estimates, within what that connects. Then, for the links that neighbours and pivots of long lists may
-miss, candidates estimated at 0.65 or more (three standard deviations under 0.8) join documents to
-regions; they are contracted to one edge for each pair of components first. In each region every document
-outside its largest component is compared with all others on full sets, block by block, and only links
-between components leave a task. Last, candidate pairs
+*Verification* on full sets. Candidates estimated at 0.65 or more (three standard deviations under 0.8) join
+components to regions. In each region every document outside its largest component is compared with all
+others on full sets, block by block, and only links between components leave a task. Last, candidate pairs
 between regions. A large group of near copies is one component but for few outliers; the work grows
 with outliers times members.
 
@@ -56,6 +58,10 @@ FOLLOW = 4               # values after a run that order its list
 ESTIMATE = 0.55
 REGION = 0.65
 BLOCK = 128              # documents of one side of a comparison
+LEAST = 36               # values that two sketches of 0.55 have in common: 0.55 * K, rounded up
+TABLE = 1 << 20          # places of the table of frequencies
+CHUNK = 4096             # of them in one row
+LISTED = 1024            # entries of one side of a comparison in a list
 COLUMNS = 4096           # shingles compared at a time
 
 
@@ -290,19 +296,157 @@ def _region_links(percent: int):
 def _closed(regions: DataFrame, so_far: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components of each region (component, region)."""
     placed = so_far.select("id", F.col("component_id").alias("ca")).join(regions.select(F.col("id").alias("ca"), "region"), "ca")
-    parts = placed.groupBy("region", "ca").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("region").agg(F.max(F.struct("n", "ca")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
-    main = main.filter("parts > 1").select("region", F.col("m.ca").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("bm"),
-                                           F.ceil((F.col("all") - F.col("m.n")) / BLOCK).cast("int").alias("bo"))
-    rows = placed.join(main, "region").join(sets, "id").select(
+    rows = placed.join(_mains(placed, "region", BLOCK), "region").join(sets, "id").select(
         "region", "main", "bm", "bo", F.struct("id", "ca", "shingles").alias("row"))
+    return _blocks(rows, "region").mapInArrow(_region_links(percent), "a long, b long")
+
+
+def _frequencies(batches):
+    """How often the values of each place of the table occur in this task."""
+    counts = np.zeros(TABLE, np.int64)
+    for batch in batches:
+        values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), U)
+        counts += np.bincount((values % U(TABLE)).astype(np.int64), minlength=TABLE)
+    rows = [i for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
+    yield pa.RecordBatch.from_pydict({"chunk": pa.array(rows, pa.int32()),
+                                      "counts": pa.array([ex.planes(counts[i * CHUNK:(i + 1) * CHUNK]) for i in rows], pa.binary())})
+
+
+def _classes(table: pa.Table) -> pa.Table:
+    """A byte for each place of a chunk: its frequency in steps of a fourth of a power of two."""
+    total = sum(ex.unplanes(memoryview(b), 0, CHUNK, np.int64)[0] for b in table.column("counts").to_pylist())
+    return pa.table({"chunk": table.column("chunk").slice(0, 1),
+                     "classes": pa.array([np.floor(4 * np.log2(total + 1)).astype(np.uint8).tobytes()], pa.binary())})
+
+
+def _order(reps: DataFrame) -> bytes:
+    """The table of frequencies: ``TABLE`` bytes, however many documents there are."""
+    table = bytearray(TABLE)
+    for chunk, classes in reps.select("sketch").mapInArrow(_frequencies, "chunk int, counts binary").groupBy("chunk").applyInArrow(
+            _classes, "chunk int, classes binary").collect():
+        table[chunk * CHUNK:(chunk + 1) * CHUNK] = classes
+    return bytes(table)
+
+
+def _prefix(ns: np.ndarray) -> np.ndarray:
+    """How many of its rarest values a sketch of a set of that size needs to share one with each similar one. A set of up
+    to 51 has complete sketches as partners only, of which four fifths are common; others share ``LEAST``."""
+    return np.where(5 * ns > 4 * K, np.minimum(ns, K) - LEAST + 1, ns - (4 * ns + 4) // 5 + 1)
+
+
+def _extract_rarest(order: bytes):
+    def extract(batch: pa.RecordBatch):
+        ids, ns = np.asarray(batch.column("doc_id")), np.asarray(batch.column("n"))
+        values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), U)
+        own = np.repeat(np.arange(len(ids)), np.minimum(ns, K))
+        first = bt.first_of(own, len(ids))
+        rank = np.frombuffer(order, np.uint8)[(values % U(TABLE)).astype(np.int64)]
+        by = np.lexsort((values, rank, own))
+        keep = np.sort(by[np.arange(len(by)) - first[own] < _prefix(ns)[own]])  # ``own`` is sorted, so it stays as it is
+        return (ids[own[keep]].astype(np.int64), (keep - first[own[keep]]).astype(np.int32), values[keep],
+                np.full(len(keep), ex.INDEX, np.uint8))
+    return extract
+
+
+def _entries(batches):
+    """A list entry for every value of a prefix that occurs in another: (value, id, component)."""
+    for batch in batches:
+        keys, ids, comps = [], [], []
+        for doc, comp, raw, blobs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ca", "sketch", "hits"))):
+            got = np.frombuffer(raw, U)[np.frombuffer(b"".join(blobs), "<i4")].view(np.int64)
+            keys.append(got)
+            ids += [doc] * len(got)
+            comps += [comp] * len(got)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys) if keys else [], pa.int64()),
+                                          "id": pa.array(ids, pa.int64()), "ca": pa.array(comps, pa.int64())})
+
+
+def _similarities(x: np.ndarray, n: int, table: np.ndarray, valid: np.ndarray, ns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimates of one sketch with each row of a table, and whether both are complete. The values' high halves
+    are compared, which never makes an estimate smaller."""
+    at = np.searchsorted(x, table)
+    hit = valid & (x[np.minimum(at, len(x) - 1)] == table)
+    so_far = np.cumsum(hit, axis=1)
+    common = so_far[:, -1]
+    among = (hit & (at + np.arange(2, table.shape[1] + 2) - so_far <= K)).sum(axis=1)
+    whole = (ns <= K) & (n <= K)
+    return np.where(whole, common / (n + ns - common), among / K), whole
+
+
+def _list_pairs(percent: int):
+    """Candidates of different components among the blocks of a list, or, if they are more than the rows of the
+    block, a forest of them that joins the same components (``full``)."""
+    def work(batches):
+        for batch in batches:
+            found = []
+            for members, outliers in zip(batch.column("members").to_pylist(), batch.column("outliers").to_pylist()):
+                ids, comps, ns = (np.array([r[c] for r in members], np.int64) for c in ("id", "ca", "n"))
+                table = np.zeros((len(members), K), "<u4")
+                for i, r in enumerate(members):
+                    table[i, :len(r["high"]) // 4] = np.frombuffer(r["high"], "<u4")
+                valid = np.arange(K) < np.minimum(ns, K)[:, None]
+                known, part = np.unique(np.concatenate((comps, [r["ca"] for r in outliers])), return_inverse=True)
+                joined = np.arange(len(known))  # the tree of each component
+                pairs, forest, most = [], [], len(members) + len(outliers)
+                for o, r in enumerate(outliers):
+                    n = r["n"]
+                    near = np.flatnonzero((comps != r["ca"]) & (5 * np.minimum(ns, n) >= 4 * np.maximum(ns, n)))
+                    est, whole = _similarities(np.frombuffer(r["high"], "<u4"), n, table[near], valid[near], ns[near])
+                    ok = np.where(whole, est >= percent / 100 - 1e-9, est >= ESTIMATE * percent / 80)
+                    near, est = near[ok], est[ok]
+                    if len(pairs) <= most:
+                        pairs += [(o, m, e) for m, e in zip(near.tolist(), est.tolist())]
+                    own = joined[part[len(members) + o]]
+                    trees, one = np.unique(joined[part[near]], return_index=True)
+                    new = trees != own
+                    if new.any():
+                        forest += [(o, m, e) for m, e in zip(near[one[new]].tolist(), est[one[new]].tolist())]
+                        joined[np.isin(joined, trees[new])] = own
+                full = len(pairs) > most
+                for o, m, e in forest if full else pairs:
+                    x, y = (outliers[o]["id"], outliers[o]["ca"]), (members[m]["id"], members[m]["ca"])
+                    found.append((*min(x, y), *max(x, y), e, full))
+            names = {"a": pa.int64(), "ca": pa.int64(), "b": pa.int64(), "cb": pa.int64(), "est": pa.float64(), "full": pa.bool_()}
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(names.values())], names=list(names))
+    return work
+
+
+def _mains(placed: DataFrame, by: str, block: int) -> DataFrame:
+    """The groups of several components: their largest, and the blocks of their members and of those outside it."""
+    parts = placed.groupBy(by, "ca").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy(by).agg(F.max(F.struct("n", "ca")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
+    return main.filter("parts > 1").select(by, F.col("m.ca").alias("main"), F.ceil(F.col("all") / block).cast("int").alias("bm"),
+                                           F.ceil((F.col("all") - F.col("m.n")) / block).cast("int").alias("bo"))
+
+
+def _blocks(rows: DataFrame, by: str) -> DataFrame:
+    """Each block of the ``members`` of a group beside each of its ``outliers``, of ``rows (by, main, bm, bo, row)``."""
     block = F.pmod(F.xxhash64("row.id"), F.col("bm")).cast("int")
-    members = rows.select("region", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("bo") - 1)).alias("j"), "row")
+    members = rows.select(by, block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("bo") - 1)).alias("j"), "row")
     block = F.pmod(F.xxhash64("row.id"), F.col("bo")).cast("int")
-    outliers = rows.filter("row.ca <> main").select("region", F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("i"), block.alias("j"), "row")
-    both = (members.withColumn("out", F.lit(False)).unionByName(outliers.withColumn("out", F.lit(True))).groupBy("region", "i", "j")
+    outliers = rows.filter("row.ca <> main").select(by, F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("i"), block.alias("j"), "row")
+    both = (members.withColumn("out", F.lit(False)).unionByName(outliers.withColumn("out", F.lit(True))).groupBy(by, "i", "j")
             .agg(F.collect_list(F.when(~F.col("out"), F.col("row"))).alias("members"), F.collect_list(F.when(F.col("out"), F.col("row"))).alias("outliers")))
-    return both.filter("size(members) > 0 and size(outliers) > 0").mapInArrow(_region_links(percent), "a long, b long")
+    return both.filter("size(members) > 0 and size(outliers) > 0")
+
+
+def _high(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(
+            [(np.frombuffer(s, U) >> U(32)).astype("<u4").tobytes() for s in batch.column("sketch").to_pylist()], pa.binary())], names=["id", "n", "high"])
+
+
+def _between(reps: DataFrame, so_far: DataFrame, n_keys: int, percent: int) -> DataFrame:
+    """All candidates of different components: ``(a, b, ca, cb, est, full)``; ``full`` if they stand for more."""
+    hits = ex.per_document(ex.repeated(reps, _extract_rarest(_order(reps)), n_keys, 8)).select("doc_id", "hits")
+    placed = so_far.select(F.col("id").alias("doc_id"), F.col("component_id").alias("ca"))
+    entries = stored(reps.join(hits, "doc_id").join(placed, "doc_id").select("doc_id", "ca", "sketch", "hits")
+                     .mapInArrow(_entries, "key long, id long, ca long"), "entries")
+    high = reps.select(F.col("doc_id").alias("id"), "n", "sketch").mapInArrow(_high, "id long, n long, high binary")
+    rows = entries.join(_mains(entries, "key", LISTED), "key").join(high, "id").select(
+        "key", "main", "bm", "bo", F.struct("id", "ca", "n", "high").alias("row"))
+    return (_blocks(rows, "key").mapInArrow(_list_pairs(percent), "a long, ca long, b long, cb long, est double, full boolean")
+            .groupBy("a", "b", "ca", "cb").agg(F.max("est").alias("est"), F.max("full").alias("full")))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -351,17 +495,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Merged at every size: these ids grow with the corpus, so they are never broadcast.
     sets = stored(docs.join(ends.hint("merge"), docs.doc_id == ends.id, "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), "sets")
     links = stored(_confirm(first, sets, percent), "links")
-    so_far = stored(components(_ends(pairs), links), "joined")
-
-    # Candidates within a component are settled. The rest are estimated and contract to one edge for each pair of
-    # components, so a large group of near copies, whose members have many candidates each, is one node from here on.
-    apart = stored(pairs.select("a", "b").join(so_far.select(F.col("id").alias("a"), F.col("component_id").alias("ca")), "a")
-                   .join(so_far.select(F.col("id").alias("b"), F.col("component_id").alias("cb")), "b")
-                   .filter("ca <> cb").select("a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")), "apart")
-    between = stored(_similar(apart, sketch, percent), "between")
+    so_far = stored(components(sketch, links), "joined")
+
+    # Candidates within a component are settled. All others come from the exact pass, and contract to one edge for each
+    # pair of components, so a large group of near copies, whose members have many candidates each, is one node from here on.
+    between = stored(_between(reps, so_far, n_keys, percent), "between")
     late = stored(_ends(between).join(ends, "id", "left_anti"), "late")  # their first candidate was none
     sets = sets.union(stored(docs.join(late, docs.doc_id == late.id, "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), "sets"))
-    near = between.filter(F.col("est") >= REGION * percent / 80).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    near = between.filter(F.col("full") | (F.col("est") >= REGION * percent / 80)).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     regions = stored(components(between.select(F.col("ca").alias("id")).union(between.select("cb")).distinct(), near).select("id", F.col("component_id").alias("region")), "regions")
     closed = stored(_closed(regions, so_far, sets, percent), "links")
     open_pairs = (between.join(regions.select(F.col("id").alias("ca"), F.col("region").alias("ra")), "ca")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, neighbour_graph, packing, quality
+from tablewatch.llm import bpe, minhash_dedup, neighbour_graph, packing, quality
 from tablewatch.llm.decontaminate import find_benchmark
 from tablewatch.llm.line_dedup import remove_repeated_lines
 from tablewatch.llm.minhash_dedup import near_duplicates
@@ -131,6 +131,57 @@ def test_minhash_large_groups(spark):
     assert got == brute.near_duplicates(texts)
 
 
+def test_minhash_exact_in_long_lists(spark):
+    """Pairs that meet in long lists only, far from each other: no neighbour, pivot or third document joins them."""
+    rng = random.Random(11)
+    core = [f"core{i}" for i in range(8)]
+    ids = rng.sample(range(10_000), 600)
+    texts = {}
+    for p in range(300):
+        for i in ids[2 * p:2 * p + 2]:  # 9 of 11 words in common, 8 of 12 with all others
+            texts[i] = " ".join([*core, f"pair{p}", f"own{i}"])
+    got = result(near_duplicates(table(spark, texts, 8), words=1), "n_shingles", "component_id")
+    assert got == {i: (10, min(ids[2 * p:2 * p + 2])) for p in range(300) for i in ids[2 * p:2 * p + 2]}
+    core, texts = [f"core{i}" for i in range(70)], {}
+    for p in range(100):  # the same with sets larger than a sketch: 90 of 110, and 70 of 130 with all others
+        for i in ids[2 * p:2 * p + 2]:
+            words = [*core, *(f"pair{p}x{j}" for j in range(20)), *(f"own{i}x{j}" for j in range(10))]
+            texts[i] = " ".join(words)
+    got = result(near_duplicates(table(spark, texts, 8), words=1), "n_shingles", "component_id")
+    assert got == {i: (100, min(ids[2 * p:2 * p + 2])) for p in range(100) for i in ids[2 * p:2 * p + 2]}
+
+
+def test_minhash_outliers_of_a_large_component(spark):
+    """Copies that link with few of many members, and members that are candidates of hundreds: as by brute force."""
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(200)]
+    texts = {}
+    for i in range(300):
+        words = list(base)
+        for place in rng.sample(range(200), rng.choice([2, 2, 4, 11, 22, 24, 26])):
+            words[place] = f"e{i}x{place}"
+        texts[i] = " ".join(words)
+    got = result(near_duplicates(table(spark, texts, 8), words=1), "n_shingles", "component_id")
+    assert got == brute.near_duplicates(texts, words=1)
+
+
+def test_minhash_prefixes():
+    """Any two sketches with the least overlap share a value of their prefixes, in whatever order."""
+    rng = np.random.default_rng(3)
+    for n in range(2, 90):
+        for m in range(n, min(90, 5 * n // 4) + 1):
+            sizes = [min(n, minhash_dedup.K), min(m, minhash_dedup.K)]
+            common = minhash_dedup.LEAST if m > minhash_dedup.K else (4 * m + 4) // 5
+            if common > sizes[0]:
+                continue
+            both = np.arange(common)
+            ranks = rng.permutation(1000)  # one order for both
+            x = np.concatenate((both, np.arange(100, 100 + sizes[0] - common)))
+            z = np.concatenate((both, np.arange(300, 300 + sizes[1] - common)))
+            px, pz = (set(sorted(v.tolist(), key=lambda k: ranks[k])[:int(minhash_dedup._prefix(np.array([size]))[0])]) for v, size in ((x, n), (z, m)))
+            assert px & pz, (n, m)
+
+
 def test_benchmark(spark, docs):
     some = docs[6].split()
     items = [(1, " ".join(some[3:30])), (2, "one TWO three"), (10, "A"), (3, None), (4, ""), (5, "never seen in any text at all, this long item is"),
