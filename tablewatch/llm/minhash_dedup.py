@@ -373,6 +373,15 @@ def _similarities(x: np.ndarray, n: int, table: np.ndarray, valid: np.ndarray, n
     return np.where(whole, common / (n + ns - common), among / K), whole
 
 
+def _in_common(x: np.ndarray, values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """How many values of each of ``n`` rows are in ``x``, of all their ``values``, sorted, with the row of each."""
+    x = np.unique(x)
+    lo = np.searchsorted(values, x)
+    size = np.searchsorted(values, x, "right") - lo
+    at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return np.bincount(rows[at], minlength=n)
+
+
 def _list_pairs(percent: int):
     """Candidates of different components among the blocks of a list, or, if they are more than the rows of the
     block, a forest of them that joins the same components (``full``)."""
@@ -385,13 +394,20 @@ def _list_pairs(percent: int):
                 for i, r in enumerate(members):
                     table[i, :len(r["high"]) // 4] = np.frombuffer(r["high"], "<u4")
                 valid = np.arange(K) < np.minimum(ns, K)[:, None]
+                values, rows = table[valid], np.nonzero(valid)[0]
+                by = np.argsort(values, kind="stable")
+                values, rows = values[by], rows[by]
                 known, part = np.unique(np.concatenate((comps, [r["ca"] for r in outliers])), return_inverse=True)
                 joined = np.arange(len(known))  # the tree of each component
                 pairs, forest, most = [], [], len(members) + len(outliers)
                 for o, r in enumerate(outliers):
                     n = r["n"]
-                    near = np.flatnonzero((comps != r["ca"]) & (5 * np.minimum(ns, n) >= 4 * np.maximum(ns, n)))
-                    est, whole = _similarities(np.frombuffer(r["high"], "<u4"), n, table[near], valid[near], ns[near])
+                    x = np.frombuffer(r["high"], "<u4")
+                    common = _in_common(x, values, rows, len(members))
+                    # No estimate is above what these allow, so what they rule out would not pass below.
+                    enough = common >= np.where((ns <= K) & (n <= K), (percent / 100 - 1e-6) * (n + ns - common), (ESTIMATE * percent / 80 - 1e-6) * K)
+                    near = np.flatnonzero(enough & (comps != r["ca"]) & (5 * np.minimum(ns, n) >= 4 * np.maximum(ns, n)))
+                    est, whole = _similarities(x, n, table[near], valid[near], ns[near])
                     ok = np.where(whole, est >= percent / 100 - 1e-9, est >= ESTIMATE * percent / 80)
                     near, est = near[ok], est[ok]
                     if len(pairs) <= most:
@@ -450,7 +466,7 @@ def _between(reps: DataFrame, so_far: DataFrame, n_keys: int, percent: int) -> D
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
 
 
 def _joined(so_far: DataFrame, links: DataFrame) -> DataFrame:
@@ -491,7 +507,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = either.groupBy("a").agg(F.max(F.struct("m", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = stored(_similar(best, sketch, percent), "first")
-    ends = stored(_ends(first), "ends")
+    ends = _ends(first)
     # Merged at every size: these ids grow with the corpus, so they are never broadcast.
     sets = stored(docs.join(ends.hint("merge"), docs.doc_id == ends.id, "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), "sets")
     links = stored(_confirm(first, sets, percent), "links")
@@ -500,7 +516,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Candidates within a component are settled. All others come from the exact pass, and contract to one edge for each
     # pair of components, so a large group of near copies, whose members have many candidates each, is one node from here on.
     between = stored(_between(reps, so_far, n_keys, percent), "between")
-    late = stored(_ends(between).join(ends, "id", "left_anti"), "late")  # their first candidate was none
+    late = stored(_ends(between).distinct().join(ends, "id", "left_anti"), "late")  # their first candidate was none
     sets = sets.union(stored(docs.join(late, docs.doc_id == late.id, "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), "sets"))
     near = between.filter(F.col("full") | (F.col("est") >= REGION * percent / 80)).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     regions = stored(components(between.select(F.col("ca").alias("id")).union(between.select("cb")).distinct(), near).select("id", F.col("component_id").alias("region")), "regions")

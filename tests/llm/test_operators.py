@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, minhash_dedup, neighbour_graph, packing, quality
+from tablewatch.llm import bpe, common, minhash_dedup, neighbour_graph, packing, quality
 from tablewatch.llm.decontaminate import find_benchmark
 from tablewatch.llm.line_dedup import remove_repeated_lines
 from tablewatch.llm.minhash_dedup import near_duplicates
@@ -165,6 +165,35 @@ def test_minhash_outliers_of_a_large_component(spark):
     assert got == brute.near_duplicates(texts, words=1)
 
 
+@pytest.mark.parametrize("forest", [7, common.FOREST])
+def test_components(spark, monkeypatch, forest):
+    """Paths, hubs and chance links, nulls and links to itself; few links take one step, whatever their shape."""
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(-300 + rng.randrange(60), -300 + rng.randrange(60)) for _ in range(45)]
+    rng.shuffle(links)
+    smallest = {i: i for i in range(-310, 140)}
+    for _ in smallest:
+        for a, b in links:
+            smallest[a] = smallest[b] = min(smallest[a], smallest[b])
+    steps = []
+    monkeypatch.setattr(common, "FOREST", forest)
+    monkeypatch.setattr(common, "stored", lambda df, label, f=common.stored: steps.append(label) or f(df, label))
+    found = common.components(spark.createDataFrame([(i,) for i in smallest], "id long"),
+                              spark.createDataFrame(links + [(None, 5), (6, None)], "a long, b long").repartition(3))
+    assert {r.id: r.component_id for r in found.collect()} == smallest
+    assert forest < len(links) or len(steps) == 2
+    assert common.components(spark.createDataFrame([(1,)], "id long"), spark.createDataFrame([], "a long, b long")).collect() == [(1, 1)]
+
+
+def test_minhash_common_values():
+    rng = np.random.default_rng(2)
+    table = [np.sort(rng.integers(0, 40, rng.integers(0, 20))) for _ in range(30)]
+    values, rows = np.concatenate(table), np.repeat(np.arange(30), [len(t) for t in table])
+    by = np.argsort(values)
+    for x in table:
+        assert minhash_dedup._in_common(x, values[by], rows[by], 30).tolist() == [int(np.isin(t, x).sum()) for t in table]
+
+
 def test_minhash_prefixes():
     """Any two sketches with the least overlap share a value of their prefixes, in whatever order."""
     rng = np.random.default_rng(3)
