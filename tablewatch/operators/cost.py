@@ -3,8 +3,7 @@
 Every check returns the same 11 finding columns. Money is kept in decimals
 (quantity x list price) so sums are exact and rounding is half-up in every
 engine; savings are reported as doubles at the end. The price list is a
-dimension of a few SKUs, reduced to one row per SKU; the planner picks the join
-from its size.
+dimension of a few SKUs, reduced to one row per SKU and broadcast.
 """
 
 from __future__ import annotations
@@ -80,9 +79,13 @@ def unit_prices(list_prices: DataFrame) -> DataFrame:
 
 def priced_usage(usage: DataFrame, list_prices: DataFrame, as_of, cfg: CostConfig) -> DataFrame:
     """Usage in the lookback window with ``cost_usd = quantity * list price`` (0 when unpriced)."""
-    prices = unit_prices(list_prices)
-    u = usage.where(_since("usage_date", as_of, cfg.lookback))
-    return (u.join(prices, "sku_name", "left")
+    return with_cost(usage.where(_since("usage_date", as_of, cfg.lookback)), list_prices)
+
+
+def with_cost(usage: DataFrame, list_prices: DataFrame) -> DataFrame:
+    """``usage`` with ``cost_usd``. The prices, a row for each SKU, are broadcast: dealt by SKU, all usage would
+    meet in a task for each, and stay there for sums by SKU and more."""
+    return (usage.join(F.broadcast(unit_prices(list_prices)), "sku_name", "left")
             .withColumn("cost_usd", F.col("usage_quantity").cast("decimal(18,2)")
                         * F.coalesce(F.col("unit_price"), F.lit(0)).cast("decimal(18,4)"))
             .drop("unit_price"))
@@ -493,11 +496,9 @@ def run_audit(tables: dict[str, DataFrame], days: list[str], cfg: CostConfig, pa
     cube = None
     if any("usage" in c.needs for c in able):
         since, until = min(days), max(days)
-        prices = unit_prices(tables["list_prices"])
         usage = tables["usage"].where((F.col("usage_date") >= F.date_sub(date_lit(since), cfg.lookback).cast("timestamp_ntz"))
                                       & (F.col("usage_date") < ts_lit(until)))
-        cube = usage_cube(usage.join(prices, "sku_name", "left").withColumn(
-            "cost_usd", F.col("usage_quantity").cast("decimal(18,2)") * F.coalesce("unit_price", F.lit(0)).cast("decimal(18,4)"))).checkpoint(eager=True)
+        cube = usage_cube(with_cost(usage, tables["list_prices"])).checkpoint(eager=True)
     for day in days:
         priced = cube.where(_since("usage_date", day, cfg.lookback)) if cube is not None else None
         parts = [c.build(Day(tables, priced, day, cfg)) for c in able]

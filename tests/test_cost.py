@@ -1,3 +1,7 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
 from tablewatch.operators import cost as c
 from tablewatch.plans.common import t
 from tablewatch.plans.cost import AS_OF, AUDITED, CFG
@@ -17,6 +21,25 @@ def test_usage_cube_keeps_every_finding(spark):
         assert sorted(check(pu, AS_OF, CFG).collect(), key=str) == sorted(check(cube, AS_OF, CFG).collect(), key=str)
 
 
+def test_usage_is_not_dealt_by_sku(spark):
+    """The sums of usage of one SKU are made in many tasks, not where its price was looked up."""
+    usage = spark.range(4000).selectExpr("timestamp_ntz '2001-06-01' as usage_date", "'1' as workspace_id", "'JOBS_COMPUTE' as sku_name",
+                                         "cast(id % 7 as double) as usage_quantity", "cast(null as map<string,string>) as custom_tags",
+                                         "struct(cast(id as string) as cluster_id, id as job_id, cast(null as string) as warehouse_id) as usage_metadata")
+    prices = t(spark, SMALL, "list_prices")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        sums = c.usage_cube(c.with_cost(usage, prices))
+        held = [r["count"] for r in sums.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 4000 and max(held) < 1000
+        assert sums.agg(F.sum("cost_usd")).first()[0] == sum(i % 7 for i in range(4000)) * Decimal("0.15")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_needs_are_declared(spark):
     """A missing table or column skips what needs it, with the reason; the rest run."""
     x = tables(spark)
