@@ -16,18 +16,25 @@ A line goes if an earlier line by (doc_id, line number) matches it; lines withou
 For each variant and gap only the earliest line matters, so a task sends the earliest of its buffer
 and settles the rest: a line that a third of all documents hold is sent once per buffer.
 
+Texts are shuffled twice, to meet their candidates and to lose their lines; the first shuffle is released
+when the numbers of the lines that go are written, and no copy of the texts is stored in between.
+
 Defined results: a null or empty text has no lines with words; rows equal in id and
-text are one document, rows that share an id only are several, null the last (see ``corpus``); an empty table gives an empty table; other columns are ignored. Of the
+text are one document, rows that share an id only are several, null the last (see ``corpus``); an empty table gives an empty table; other columns are ignored or, if
+asked for, follow as they are. Of the
 lines that stay, every byte stays."""
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewatch.llm import bytetext as bt
 from tablewatch.llm import exchange as ex
@@ -210,33 +217,48 @@ def _join(buckets: int):
 
 
 def _kept_lines(batches):
+    """Columns doc_id, text, hits and any others: texts without their hits, counts of lines, the others as they are."""
     for batch in batches:
-        texts, removed, n_lines = [], [], []
-        for text, blobs in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
-            lines = text.split("\n")
-            gone = set(np.frombuffer(b"".join(blobs), "<i4").tolist()) if blobs else ()
-            texts.append("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
-            removed.append(len(gone))
-            n_lines.append(len(lines) if text else 0)
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string()),
-                                          "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())})
-
-
-def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, n_lines, n_removed)``: each text without the lines that an earlier line matches."""
-    prepare(df.sparkSession)
-    docs, _, size, names = corpus(df, id_col, text_col)
-    hits = stored(ex.per_document(ex.repeated(docs, _half_keys, size // 60, 6)), "half-hits")
-    docs = stored(docs.join(hits, docs.doc_id.eqNullSafe(F.when(hits.doc_id != NULL_ID, hits.doc_id)), "left")
-                  .select(docs.doc_id, "text", "hits", "n"), "candidate-lines")
-    touched = docs.filter("hits is not null")
+        doc, text, hits, *others = batch.columns
+        n_lines = pc.if_else(pc.equal(pc.binary_length(text), 0), 0, pc.add(pc.count_substring(text, "\n"), 1)).cast(pa.int64())
+        touched = np.flatnonzero(np.asarray(hits.is_valid()))
+        removed, mended = np.zeros(batch.num_rows, np.int64), []
+        for i, old, blobs in zip(touched.tolist(), text.take(touched).to_pylist(), hits.take(touched).to_pylist()):
+            gone = set(np.frombuffer(b"".join(blobs), "<i4").tolist())
+            mended.append("\n".join(x for j, x in enumerate(old.split("\n")) if j not in gone))
+            removed[i] = len(gone)
+        if mended:
+            text = pc.replace_with_mask(text, hits.is_valid(), pa.array(mended, text.type))
+        yield pa.RecordBatch.from_arrays([doc, text, n_lines, pa.array(removed), *others], ["doc_id", "text", "n_lines", "n_removed", *batch.schema.names[3:]])
+
+
+def _gone_lines(docs: DataFrame, size: int) -> DataFrame:
+    """``(of, hits)``: the numbers of the lines that an earlier line matches, of each document that has any."""
+    hits = stored(ex.per_document(ex.repeated(docs, _half_keys, size // 60, 6)).withColumnRenamed("doc_id", "of"), "half-hits")
     # About one variant for each six bytes of candidate lines: sized by the texts they are in.
-    n_variants = int(touched.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    lengths = docs.select("doc_id", F.octet_length("text").alias("bytes"))
+    n_variants = int(lengths.join(hits, lengths.doc_id == hits.of, "left_semi").agg(F.sum("bytes")).first()[0] or 0) // 6
     buckets = max(ex.LEAST_BUCKETS, -(-n_variants // (ex.BUCKET // 2)))
-    gone = (touched.select("doc_id", "text", "hits").mapInArrow(_send(buckets), "bucket int, blob binary")
-            .groupBy("bucket").applyInArrow(_join(buckets), "doc_id long, hits binary, n long"))
-    gone = (ex.per_document(gone)
-            .select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("of"), F.col("hits").alias("gone")))
-    mended = touched.join(gone, touched.doc_id.eqNullSafe(gone.of), "left").select("doc_id", "text", F.col("gone").alias("hits"))
-    untouched = docs.filter("hits is null").select("doc_id", "text", "hits")
-    return named(untouched.union(mended).mapInArrow(_kept_lines, "doc_id long, text string, n_lines long, n_removed long"), names)
+    found = (docs.join(hits, docs.doc_id == hits.of).select("doc_id", "text", "hits").mapInArrow(_send(buckets), "bucket int, blob binary")
+             .groupBy("bucket").applyInArrow(_join(buckets), "doc_id long, hits binary, n long"))
+    return stored(ex.per_document(found).select(F.col("doc_id").alias("of"), "hits"), "gone-lines")
+
+
+def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", others: Sequence[str] = ()) -> DataFrame:
+    """``(doc_id, text, n_lines, n_removed)``: each text without the lines that an earlier line matches.
+
+    ``others`` names columns of ``df`` that follow as they are, so that whole rows need no second join
+    with their texts; the ids must then tell all rows apart."""
+    prepare(df.sparkSession)
+    docs, _, size, names = corpus(df, id_col, text_col)
+    if others and names is not None:
+        raise ValueError("other columns need ids that are there and differ")
+    gone = _gone_lines(docs, size)
+    whole = docs
+    if others:
+        whole = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                          *(F.col(f"`{c}`") for c in others))
+    rows = whole.join(gone, whole.doc_id == gone.of, "left").select(whole["doc_id"], whole["text"], gone["hits"], *(whole[f"`{c}`"] for c in others))
+    schema = T.StructType([T.StructField(c, t) for c, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("n_lines", T.LongType()), ("n_removed", T.LongType()))]
+                          + [df.schema[c] for c in others])
+    return named(rows.mapInArrow(_kept_lines, schema), names)

@@ -32,12 +32,13 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """Texts without the lines that an earlier line matches; ``n_chars``, if there is one, follows.
     A text of which only white space is left goes: all its lines are in earlier documents."""
     rows, key = with_row(docs)
-    mended = remove_repeated_lines(rows, key).filter("n_removed > 0").select(F.col("doc_id").alias("of"), F.col("text").alias("left"))
-    both = rows.join(mended, rows[f"`{key}`"] == mended["of"], "left").filter(mended["of"].isNull() | mended["left"].rlike(r"\S"))
-    new = {"text": F.coalesce(mended["left"], rows["text"])}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.coalesce(F.length(mended["left"]).cast(docs.schema["n_chars"].dataType), rows["n_chars"])
-    return both.select(*(new.get(c, rows[f"`{c}`"]).alias(c) for c in docs.columns))
+    given = {c: f"given{i}" for i, c in enumerate(docs.columns) if c != "text"}  # the operator's own names stay free
+    named = rows.select(F.col(f"`{key}`").alias("key"), "text", F.col("text").isNull().alias("none"), *(F.col(f"`{c}`").alias(g) for c, g in given.items()))
+    mended = remove_repeated_lines(named, "key", others=["none", *given.values()]).filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    new = {c: F.col(g) for c, g in given.items()} | {"text": F.when(~F.col("none"), F.col("text"))}
+    if "n_chars" in given:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
+    return mended.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
